@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litholake.llm import quantiles, tokens, topn
+from litholake.llm import mojibake, quantiles, tokens, topn
 from litholake.session import table
 
 LEVELS = {("area_px", 50): 300.0, ("area_px", 95): 6000.0, ("score", 50): 25.0, ("score", 95): 60.0}
@@ -45,5 +45,14 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_column(docs, "text", ["doc_id"], tokens.broadcast_encoder(spark))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids)}
+def p8_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each garbled document with its chains and the text as it was written, as far as it can be had."""
+    return mojibake.find_garbled(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_repaired(spark, sf_dir).select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids, p8_found, p8_repaired)}
 ORACLES: dict[str, str] = {}
