@@ -63,9 +63,14 @@ READ = {r: _byte_chars(r) for r in SINGLE}
 #: Stored character -> character numbered by its byte. Unread characters below U+0100 go out of the way.
 UNREAD = {r: {i: 0x100 for i in range(0x80, 0x100)} | {i: i for i in range(0x80, 0xA0)} | {ord(c): b for b, c in enumerate(READ[r]) if b >= 0x80} for r in SINGLE}
 CHARS = {r: set(READ[r][0x80:]) | {chr(i) for i in range(0x80, 0xA0)} for r in SINGLE}
+#: Characters that a reader makes of the first and of the following bytes of a UTF-8 sequence.
+LEADS = {r: {READ[r][b] for b in range(0xC2, 0xF5)} for r in SINGLE}
+FOLLOWS = {r: {READ[r][b] for b in range(0x80, 0xC0)} | {chr(i) for i in range(0x80, 0xA0)} | {"\ufffd"} for r in SINGLE}
 _CONT = "[\x80-\xbf�]"
 UTF8 = re.compile(f"[\xc2-\xdf]{_CONT}|[\xe0-\xef]{_CONT}{{2}}|[\xf0-\xf4]{_CONT}{{3}}")
 ISLAND = re.compile(r"[^\s\x00-\x20]*[^\x00-\x7f](?:[^\t\n\r ]*[^\x00-\x7f])?[^\t\n\r ]?")
+NUMBER = re.compile(r"[0-9][0-9.,]+")
+LATIN = re.compile(r"[0-9A-Za-z_.,-]+")
 SEGMENT = re.compile(r"[^\n\r]*?(?:[.!?。！？]+[ ]|[。！？]|[\n\r]+|$)", re.S)
 _W = "\u2e80-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
 WIDE = re.compile(f"[{_W}]")
@@ -135,82 +140,86 @@ class Bigrams:
         self.one = {chr(-k - 1): c for k, c in zip(keys.tolist(), counts.tolist(), strict=True) if k < 0}
         self.total = max_chars
 
-    def log(self, text: str) -> float:
-        """Log probability of all characters but the first."""
+    def log(self, text: str, least: float = -math.inf, lost: float | None = None) -> float:
+        """Log probability of all characters but the first; stops below ``least``. ``lost``: that of an unknown one."""
         total, prev = 0.0, text[0]
         one, pair, n = self.one, self.pair, self.total + 20000.0
+        lost = math.log(FLOOR / n) if lost is None else lost
+        log = math.log
         for c in text[1:]:
             if c == LOST:
-                total += math.log(FLOOR / n)
+                total += lost
             else:
                 u = (one.get(c, 0.0) + FLOOR) / n
-                total += math.log(u) if prev == LOST else math.log((pair.get(prev + c, 0.0) + SMOOTH * u) / (one.get(prev, 0.0) + SMOOTH))
+                total += log(u) if prev == LOST else log((pair.get(prev + c, 0.0) + SMOOTH * u) / (one.get(prev, 0.0) + SMOOTH))
+            if total < least:
+                return -math.inf
             prev = c
         return total
 
-    def repaired_log(self, text: str) -> float:
-        """As ``log``, with lost characters as unknown ones."""
-        lost = text[1:].count(LOST)
-        return self.log(text) + lost * (LOST_LOG - math.log(FLOOR / (self.total + 20000.0)))
-
 
 class Judge:
     """Scores of islands and segments under one bigram model; picklable, with an own cache in each worker."""
 
     def __init__(self, model: Bigrams):
         self.model = model
-        self.cache: dict[str, dict[tuple, float]] = {}
+        self.cache: dict[str, tuple[bool, dict[tuple, float]]] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"cache": {}}
 
-    def island(self, text: str) -> dict[tuple, float]:
-        """Log likelihood ratio against "not garbled" of every chain that is possible for an island."""
-        out = self.cache.get(text)
-        if out is None:
-            base = self.model.log(text)
-            out = {}
-            self._chains(text, (), base, out)
+    def island(self, text: str) -> tuple[bool, dict[tuple, float]]:
+        """Log likelihood ratio against "not garbled" of every chain that is possible for an island, and whether one of
+        them is positive."""
+        found = self.cache.get(text)
+        if found is None:
+            out: dict[tuple, float] = {}
+            self._chains(text, (), self.model.log(text), out)
+            found = any(v > 0 for v in out.values()), out
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            self.cache[text] = out
-        return out
+            self.cache[text] = found
+        return found
 
     def _chains(self, text: str, done: tuple, base: float, out: dict) -> None:
-        wide = {c for c in text if c > "\x7f"}
-        if all(c.isspace() or c in "\ufeff\u200b" for c in wide):  # odd spaces alone tell nothing
+        beyond = {c for c in text if c > "\x7f"}
+        if all(c.isspace() or c in "\ufeff\u200b" for c in beyond):  # odd spaces alone tell nothing
             return
         scored: dict[str, float] = {}
-        if not done and LOST in wide:
-            out[(LOST_STEP,)] = self.model.repaired_log(text) - base
+        one, log = self.model.one, self.model.log
+        if not done and LOST in beyond:
+            out[(LOST_STEP,)] = log(text, lost=LOST_LOG) - base
         for reader, steps in BY_READER.items():
-            whole = reader not in UNREAD or wide <= CHARS[reader]
+            single = reader in UNREAD
+            whole = not single or beyond <= CHARS[reader]
+            sequences = not single or not (beyond.isdisjoint(LEADS[reader]) or beyond.isdisjoint(FOLLOWS[reader]))
             for step in steps:
-                if not whole and step[1] != "utf_8":
+                utf8 = step[1] == "utf_8"
+                if not (sequences if utf8 else whole):
                     continue
                 fixed = undo(text, step)
                 if not fixed:
                     continue
                 score = scored.get(fixed)
                 if score is None:
-                    plain = step[1] == "utf_8" or all(c in self.model.one for c in fixed if c > "\x7f")
-                    score = scored[fixed] = self.model.repaired_log(fixed) - base if plain else WORST
+                    plain = utf8 or all(c in one for c in fixed if c > "\x7f")
+                    score = scored[fixed] = log(fixed, base + (-15.0 if utf8 else WORST), LOST_LOG) - base if plain else -math.inf
                 if score > WORST:
                     out[(*done, step)] = score
-                if score > -15 and step[1] == "utf_8" and len(done) + 1 < MAX_STEPS and not fixed.isascii():
+                if utf8 and score > -15 and len(done) + 1 < MAX_STEPS and not fixed.isascii():
                     self._chains(fixed, (*done, step), base, out)
 
     def segment(self, islands: list[str]) -> dict[tuple, float]:
         """Chains of a segment with the sum of their islands' ratios. Steps that undo sequence by sequence leave other
-        islands as they are; any other chain must be possible throughout."""
+        islands as they are; any other chain must be possible throughout. Only sums above 0 can win and are returned."""
         scores = [self.island(i) for i in islands]
-        if not any(v > 0 for s in scores for v in s.values()):
+        if not any(hopeful for hopeful, _ in scores):
             return {}
         out = {}
-        for chain in {c for s in scores for c in s}:
+        for chain in {c for hopeful, s in scores if hopeful for c, v in s.items() if v > 0}:
             gap = 0.0 if _piecewise(chain) else WORST
-            total = sum(s.get(chain, gap) for s in scores)
-            if total > 0:  # no prior would let the others win
+            total = sum(s.get(chain, gap) for _, s in scores)
+            if total > 0:
                 out[chain] = total
         return out
 
@@ -220,14 +229,17 @@ def _piecewise(chain: tuple) -> bool:
 
 
 def islands_of(segment: str) -> list[str]:
-    """Islands with one character of context on either side."""
+    """Islands with one character of context on either side. Numbers are no evidence and are shortened, and so are Latin
+    names within East Asian writing, which makes islands recur."""
     out = []
     for m in ISLAND.finditer(segment):
         a, b = m.start(), m.end()
         while segment[a].isascii():
             a += 1
         a = max(a - 1, m.start())
-        s = segment[a:b]
+        s = NUMBER.sub("0", segment[a:b])
+        if WIDE.search(s):
+            s = LATIN.sub("0", s)
         out.append((s if s[0].isascii() else " " + s) + ("" if s[-1].isascii() else " "))
     return out
 
@@ -320,46 +332,45 @@ def fit_model(counts: DataFrame, max_entries: int) -> Bigrams:
     return Bigrams(top["k"].to_numpy(np.int64), top["n"].to_numpy(float), float(total))
 
 
-EVIDENCE = "doc_id long, source string, seg_no int, segment string, chains array<string>, ratios array<double>, clean long"
+EVIDENCE = "source string, segment string, chains array<string>, ratios array<double>, clean long"
 
 
 def evidence(docs: DataFrame, judge: Broadcast) -> DataFrame:
-    """One row for each segment with a possible chain, and one row for each text with the number of its other segments."""
+    """One row for each segment with a hopeful chain, and for each batch and source the number of its other segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = judge.value
-        target = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("seg_no", pa.int32()), ("segment", pa.string()), ("chains", pa.list_(pa.string())), ("ratios", pa.list_(pa.float64())), ("clean", pa.int64())])
+        target = pa.schema([("source", pa.string()), ("segment", pa.string()), ("chains", pa.list_(pa.string())), ("ratios", pa.list_(pa.float64())), ("clean", pa.int64())])
         for b in batches:
-            rows = []
-            for doc, source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if text.isascii():
-                    rows.append((doc, source, -1, None, None, None, text.count("\n") + 1))
-                    continue
-                clean = 0
-                for k, s in enumerate(segments_of(text)):
+            rows, clean = [], {}
+            for source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                n = 0
+                for s in segments_of(text) if not text.isascii() else ():
                     found = j.segment(islands_of(s)) if not s.isascii() else None
                     if found:
-                        rows.append((doc, source, k, s, [name_of(c) for c in found], list(found.values()), 0))
+                        rows.append((source, s, [name_of(c) for c in found], [round(v, 1) for v in found.values()], None))
                     else:
-                        clean += 1
-                rows.append((doc, source, -1, None, None, None, clean))
+                        n += 1
+                clean[source] = clean.get(source, 0) + (n or 1)
+            rows += [(source, None, None, None, n) for source, n in clean.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)] if rows else [pa.array([], f.type) for f in target], schema=target)
 
-    return docs.select("doc_id", "source", "text").mapInArrow(run, EVIDENCE)
+    return docs.select("source", "text").mapInArrow(run, EVIDENCE)
 
 
-def fit_prior(found: DataFrame, rounds: int, max_sources: int, start: float = 1e-3, strength: float = 20.0) -> dict[tuple[str, str], float]:
+def fit_prior(found: DataFrame, rounds: int, max_sources: int, start: float = 1e-4, strength: float = 20.0) -> dict[tuple[str, str], float]:
     """Log prior odds of each chain for each source, by EM over the evidence.
 
-    A source's shares are smoothed towards those of all sources with the weight of ``strength`` segments. Sources beyond
-    the ``max_sources`` largest are pooled, which bounds the table (chains are few) that the driver holds."""
-    seg = found.filter("seg_no >= 0").select("source", F.arrays_zip("chains", "ratios").alias("z"))
-    size = found.groupBy("source").agg(F.sum(F.when(F.col("seg_no") >= 0, 1).otherwise(F.col("clean"))).alias("n")).orderBy(F.col("n").desc(), "source").limit(max_sources).collect()
+    Segments with the same evidence are counted first, so a round costs little. A source's shares are smoothed towards
+    those of all sources with the weight of ``strength`` segments. Sources beyond the ``max_sources`` largest are pooled,
+    which bounds the table (chains are few) that the driver holds."""
+    seg = materialise(found.filter("segment is not null").groupBy("source", "chains", "ratios").agg(F.count("*").alias("n")), "kinds")
+    size = found.groupBy("source").agg(F.sum(F.coalesce("clean", F.lit(1))).alias("n")).orderBy(F.col("n").desc(), "source").limit(max_sources).collect()
     n = {r["source"]: float(r["n"]) for r in size}
     everything = sum(n.values()) or 1.0
     odds: dict[tuple[str, str], float] = {}
     spark = found.sparkSession
-    default = math.log(start / 10)
+    default = math.log(start)
     for _ in range(rounds):
         known = spark.sparkContext.broadcast((odds, set(n), default))
 
@@ -367,10 +378,10 @@ def fit_prior(found: DataFrame, rounds: int, max_sources: int, start: float = 1e
             odds, names, default = known.value  # noqa: B023
             for b in batches:
                 out: dict[tuple[str, str], float] = {}
-                for source, z in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for source, chains, ratios, many in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     source = source if source in names else ""
-                    for name, w in posterior([(c["chains"], c["ratios"]) for c in z], lambda c: odds.get((source, c), odds.get(("*", c), default))).items():  # noqa: B023
-                        out[source, name] = out.get((source, name), 0.0) + w
+                    for name, w in posterior(list(zip(chains, ratios, strict=True)), lambda c: odds.get((source, c), odds.get(("*", c), default))).items():  # noqa: B023
+                        out[source, name] = out.get((source, name), 0.0) + w * many
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.string()), pa.array([k[1] for k in out], pa.string()), pa.array(list(out.values()), pa.float64())], names=["source", "chain", "w"])
 
         got = seg.mapInArrow(expect, "source string, chain string, w double").groupBy("source", "chain").agg(F.sum("w").alias("w")).collect()
@@ -414,7 +425,7 @@ def repaired_counts(found: DataFrame, odds: Broadcast) -> DataFrame:
                             out[k] = out.get(k, 0.0) + sign * v
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.float64())], names=["k", "n"])
 
-    return found.filter("seg_no >= 0").select("source", "segment", "chains", "ratios").mapInArrow(run, "k long, n double")
+    return found.filter("segment is not null").select("source", "segment", "chains", "ratios").mapInArrow(run, "k long, n double")
 
 
 def decide(docs: DataFrame, judge: Broadcast, odds: Broadcast) -> DataFrame:
@@ -454,7 +465,7 @@ def decide(docs: DataFrame, judge: Broadcast, odds: Broadcast) -> DataFrame:
     return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, chains array<string>, repaired string, complete boolean")
 
 
-def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", model_rounds: int = 2, prior_rounds: int = 4, max_entries: int = 500_000, max_sources: int = 256) -> DataFrame:
+def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", model_rounds: int = 2, prior_rounds: int = 3, max_entries: int = 500_000, max_sources: int = 256) -> DataFrame:
     """Texts that were read with another encoding than they were written in, and what was written.
 
     ``doc_id``, ``chains`` (names ``written<read`` of the steps undone, last reading first), ``repaired``, and
@@ -465,10 +476,11 @@ def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), normal_source(F.col(source_col)).alias("source"), F.col(text_col).alias("text")).filter("text is not null and text <> ''")
     counts = materialise(count_pairs(docs, "text"), "pairs")
-    judge, odds = spark.sparkContext.broadcast(Judge(fit_model(counts, max_entries))), None
-    for _ in range(model_rounds):
+    judge = spark.sparkContext.broadcast(Judge(fit_model(counts, max_entries)))
+    for k in range(model_rounds):
         found = materialise(evidence(docs, judge), "evidence")
         odds = spark.sparkContext.broadcast(fit_prior(found, prior_rounds, max_sources))
-        moved = counts.unionByName(repaired_counts(found, odds)).groupBy("k").agg(F.sum("n").alias("n"))
-        judge = spark.sparkContext.broadcast(Judge(fit_model(moved, max_entries)))
+        if k + 1 < model_rounds:
+            moved = counts.unionByName(repaired_counts(found, odds)).groupBy("k").agg(F.sum("n").alias("n"))
+            judge = spark.sparkContext.broadcast(Judge(fit_model(moved, max_entries)))
     return decide(docs, judge, odds)
