@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litholake.llm import mojibake, quantiles, tokens, topn
+from litholake.llm import mixing, mojibake, quantiles, tokens, topn
 from litholake.session import table
 
 LEVELS = {("area_px", 50): 300.0, ("area_px", 95): 6000.0, ("score", 50): 25.0, ("score", 95): 60.0}
@@ -45,6 +45,26 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_column(docs, "text", ["doc_id"], tokens.broadcast_encoder(spark))
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> mixing.Mix:
+    """Topic of a document: the process group of its wafer."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "wafer_id")
+    sized = tokens.encode_column(docs, "text", ["doc_id", "lang", "source", "wafer_id"], tokens.broadcast_encoder(spark), "tokens", counts_only=True)
+    groups = table(spark, sf_dir, "wafers", "wafer_id", "source_group").select(F.lower(F.trim("wafer_id")).alias("w"), mixing.normal_name(F.col("source_group")).alias("topic")).dropDuplicates(["w"])
+    lang = F.regexp_extract(F.lower(F.trim(F.coalesce("lang", F.lit("")))), "^[a-z]+", 0)
+    known = sized.withColumn("w", F.lower(F.trim("wafer_id"))).join(groups, "w", "left").select("doc_id", "source", F.when(lang == "", F.lit("und")).otherwise(lang).alias("lang"), "topic", "tokens")
+    return mixing.mix(known, table(spark, sf_dir, "mix_targets"))
+
+
+def p7_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, how often each is used, and their tokens."""
+    return _mix(spark, sf_dir).selection
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each listed source."""
+    return _mix(spark, sf_dir).shares
+
+
 def p8_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each garbled document with its chains and the text as it was written, as far as it can be had."""
     return mojibake.find_garbled(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
@@ -54,5 +74,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_repaired(spark, sf_dir).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids, p8_found, p8_repaired)}
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids, p7_selection, p7_shares, p8_found, p8_repaired)}
 ORACLES: dict[str, str] = {}
