@@ -75,4 +75,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids, p7_selection, p7_shares, p8_found, p8_repaired)}
-ORACLES: dict[str, str] = {}
+_ONCE = "(select distinct on (component_id) * from defect_components order by component_id, ingested_at)"
+_VALUES = f"v as (select wafer_id, 'area_px' metric, area_px::double x from {_ONCE} where wafer_id is not null and area_px >= 0 union all select wafer_id, 'score', score from {_ONCE} where wafer_id is not null and score >= 0 and not isnan(score))"
+ORACLES: dict[str, str] = {
+    "p4_found": f"""select wafer_id, cell_row, cell_col, rank_no::int as rank_no, component_id from (select *, row_number() over (partition by wafer_id, cell_row, cell_col
+ order by score desc, case when area_px >= 0 then area_px else -1 end desc, component_id) rank_no from {_ONCE} where wafer_id is not null and score is not null and not isnan(score)) where rank_no <= 5""",
+    "p5_found": f"""with {_VALUES}, q as (select wafer_id, metric, pct, quantile_cont(x, 0.5::double) a, quantile_cont(x, 0.95::double) b from v cross join (select unnest([50, 95]) pct) group by 1, 2, 3)
+ select wafer_id, metric, pct from q where case when pct = 50 then a else b end > case when metric = 'area_px' and pct = 50 then 300 when metric = 'area_px' then 6000 when pct = 50 then 25 else 60 end""",
+}
