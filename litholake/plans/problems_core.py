@@ -73,3 +73,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_points, p3_found)}
+
+_SEGMENTS = r"""list_reduce(list_prepend([]::varchar[], list_transform(string_split(replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '\', '/'), '/'), lambda s: [s])),
+ lambda acc, x: case when x[1] in ('', '.') then acc when x[1] = '..' then acc[:greatest(len(acc) - 1, 0)] else list_concat(acc, x) end)"""
+_REFS = f"""
+seg as (select src_table, ref_field, id, recorded_at, {_SEGMENTS.format("path")} s from (
+  select 'cell_records' src_table, 'image_path' ref_field, record_id id, recorded_at, image_path path from cell_records
+  union all select 'cell_records', 'metadata_path', record_id, recorded_at, metadata_path from cell_records
+  union all select 'device_entries', 'image_path', entry_id, recorded_at, image_path from device_entries)
+  where path is not null and lower(regexp_replace(path, '^\\s+|\\s+$', '', 'g')) not in ('', 'none')),
+ref as (select distinct src_table, ref_field, id, recorded_at, array_to_string(s[greatest(coalesce(list_position(s, 'aligned_cells'), 1), 1):], '/') p from seg),
+fseg as (select {_SEGMENTS.format("file_path")} s, arrived_at, deleted_at from crop_files where file_path is not null),
+life as (select distinct array_to_string(s[greatest(coalesce(list_position(s, 'aligned_cells'), 1), 1):], '/') p, arrived_at, deleted_at from fseg),
+gone as (select distinct src_table, ref_field, id as record_id, strftime(recorded_at, '%Y-%m') ref_month from ref
+  where not exists (select 1 from life where life.p = ref.p and arrived_at <= recorded_at and (deleted_at is null or deleted_at > recorded_at)))
+"""
+ORACLES: dict[str, str] = {
+    "p1_found": f"with {_REFS} select src_table, ref_field, record_id, ref_month from gone",
+    "p1_report": f"with {_REFS} select src_table, ref_field, ref_month, count(*) as orphans from gone group by 1, 2, 3",
+}
