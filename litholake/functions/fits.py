@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litholake.session import materialise
+
 
 def _det3(a: Sequence[Column], b: Sequence[Column], c: Sequence[Column]) -> Column:
     return a[0] * (b[1] * c[2] - b[2] * c[1]) - a[1] * (b[0] * c[2] - b[2] * c[0]) + a[2] * (b[0] * c[1] - b[1] * c[0])
@@ -36,18 +38,20 @@ def line_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, weight: str | N
 
 def trimmed_line_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, rounds: int = 5, least_rows: int = 8, floor: float = 1.5, factor: float = 2.8 * 1.4826) -> DataFrame:
     """Line fit with residuals beyond ``max(floor, factor * MAD)`` trimmed in each of a fixed number of rounds; a group
-    stops losing rows when fewer than ``least_rows`` would stay. A11, I5."""
+    stops losing rows when fewer than ``least_rows`` would stay. A11, I5.
+
+    Each round is written to the shared folder, so the plan doesn't grow with the rounds."""
     d = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
     on = list(keys)
     for _ in range(rounds):
         fit = line_fit(d, on, "x", "y").select(*on, "slope", "intercept")
-        r = d.join(fit, on).withColumn("r", F.col("y") - F.col("slope") * F.col("x") - F.col("intercept"))
+        r = materialise(d.join(fit, on).select(*on, "x", "y", (F.col("y") - F.col("slope") * F.col("x") - F.col("intercept")).alias("r")), "residuals")
         mid = r.groupBy(*on).agg(F.median("r").alias("m"))
-        r = r.join(mid, on).withColumn("a", F.abs(F.col("r") - F.col("m")))
+        r = materialise(r.join(mid, on).select(*on, "x", "y", F.abs(F.col("r") - F.col("m")).alias("a")), "deviations")
         limit = r.groupBy(*on).agg(F.greatest(F.median("a") * factor, F.lit(floor)).alias("lim"))
-        r = r.join(limit, on).withColumn("ok", (F.col("a") <= F.col("lim")).cast("int"))
-        enough = r.groupBy(*on).agg((F.sum("ok") >= least_rows).alias("enough"))
-        d = r.join(enough, on).filter((F.col("ok") == 1) | ~F.col("enough")).select(*on, "x", "y")
+        tested = r.join(limit, on).withColumn("ok", (F.col("a") <= F.col("lim")).cast("int"))
+        enough = tested.groupBy(*on).agg((F.sum("ok") >= least_rows).alias("enough"))
+        d = materialise(tested.join(enough, on).filter((F.col("ok") == 1) | ~F.col("enough")).select(*on, "x", "y"), "kept")
     return line_fit(d, on, "x", "y")
 
 
@@ -74,7 +78,7 @@ def robust_circle_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, tolera
     for _ in range(rounds):
         fit = circle_fit(d, on, x, y).select(*on, "xc", "yc", "radius")
         off = F.abs(F.hypot(F.col(x) - F.col("xc"), F.col(y) - F.col("yc")) - F.col("radius"))
-        d = d.join(fit, on).filter((off <= tolerance * F.col("radius")) | F.col("radius").isNull()).drop("xc", "yc", "radius")
+        d = materialise(d.join(fit, on).filter((off <= tolerance * F.col("radius")) | F.col("radius").isNull()).drop("xc", "yc", "radius"), "kept")
     return circle_fit(d, on, x, y)
 
 

@@ -29,24 +29,23 @@ def center_spread(df: DataFrame, keys: Sequence[str], value: str, floor: float =
     Nulls, NaN and infinities are left out; null keys form a group; empty input gives no group."""
     v = df.select(*keys, finite(F.col(value)).alias("v"))
     mid = v.groupBy(*keys).agg(F.count("v").alias("n"), F.coalesce(F.median("v"), F.lit(0.0)).alias("center"))
-    dev = v.join(mid, _null_safe(v, mid, keys)).select(*[mid[k] for k in keys], "n", "center", F.abs(F.col("v") - F.col("center")).alias("d"))
+    renamed = mid.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "n", "center")
+    dev = v.join(renamed, _same_keys(keys)).select(*keys, "n", "center", F.abs(F.col("v") - F.col("center")).alias("d"))
     return dev.groupBy(*keys, "n", "center").agg(F.greatest(F.coalesce(F.median("d"), F.lit(0.0)) * MAD_TO_SIGMA, F.lit(float(floor))).alias("spread"))
 
 
-def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+def _same_keys(keys: Sequence[str]) -> Column:
+    """Null-safe equality of the keys with columns ``__k0, __k1, ..``."""
     cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[k])
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     return cond
 
 
 def robust_z(df: DataFrame, keys: Sequence[str], value: str, floor: float = 1e-9, out: str = "z") -> DataFrame:
     """Adds ``(value - median) / max(1.4826 MAD, floor)`` of the row's group; null where the value is not finite. A2."""
     stats = center_spread(df, keys, value, floor).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("center").alias("__c"), F.col("spread").alias("__s"))
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    joined = df.join(stats, cond, "left")
+    joined = df.join(stats, _same_keys(keys), "left")
     return joined.withColumn(out, F.try_divide(finite(F.col(value)) - F.col("__c"), F.col("__s"))).drop("__c", "__s", *[f"__k{i}" for i in range(len(keys))])
 
 
@@ -55,10 +54,7 @@ def trimmed_median(df: DataFrame, keys: Sequence[str], value: str, low: float =
     v = df.select(*keys, finite(F.col(value)).alias("v")).filter("v is not null")
     ends = v.groupBy(*keys).agg(F.percentile("v", F.array(F.lit(low), F.lit(high))).alias("p"))
     e = ends.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "p")
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    kept = v.join(e, cond).filter((F.col("v") >= F.col("p")[0]) & (F.col("v") <= F.col("p")[1]))
+    kept = v.join(e, _same_keys(keys)).filter((F.col("v") >= F.col("p")[0]) & (F.col("v") <= F.col("p")[1]))
     return kept.groupBy(*keys).agg(F.median("v").alias("trimmed_median"), F.count("*").alias("kept"))
 
 

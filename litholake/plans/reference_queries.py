@@ -283,7 +283,7 @@ with f as (select r_name, n_name, l_returnflag, sum(l_extendedprice) o, sum(case
  from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1, 2, 3),
 p as (select *, case when o > 1e-12 then 100 * r / o end as p from f)
 select (case when grouping(l_returnflag) = 0 then 3 when grouping(n_name) = 0 then 2 when grouping(r_name) = 0 then 1 else 0 end)::int as depth, r_name, n_name, l_returnflag,
- round_even(sum(o), 2) as original, round_even(sum(r), 2) as removed, round_even(sum(o) - sum(r), 2) as remaining, round_even(100 * sum(r) / sum(o), 6) as weighted_pct, round_even(avg(p), 6) as mean_pct
+ round_even(sum(o), 4) as original, round_even(sum(r), 4) as removed, round_even(sum(o) - sum(r), 4) as remaining, round_even(100 * sum(r) / sum(o), 6) as weighted_pct, round_even(avg(p), 6) as mean_pct
 from p group by grouping sets ((r_name, n_name, l_returnflag), (r_name, n_name), (r_name), ())""")
 def q20_hierarchical_loss(spark, sf_dir):
     """Loss by region, nation and flag; the dimension tables are joined first, so the large table is shuffled once."""
@@ -294,7 +294,7 @@ def q20_hierarchical_loss(spark, sf_dir):
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(places, c.c_nationkey == places.n_nationkey)
     gone = F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice") * F.col("l_discount")).otherwise(F.col("l_extendedprice") * F.col("l_tax"))
     out = rollup.hierarchical_loss(j.withColumn("gone", gone), ["r_name", "n_name", "l_returnflag"], "l_extendedprice", "gone")
-    return out.select("depth", "r_name", "n_name", "l_returnflag", *[F.bround(x, 2).alias(x) for x in ("original", "removed", "remaining")], *[r6(x).alias(x) for x in ("weighted_pct", "mean_pct")])
+    return out.select("depth", "r_name", "n_name", "l_returnflag", *[r4(x).alias(x) for x in ("original", "removed", "remaining")], *[r6(x).alias(x) for x in ("weighted_pct", "mean_pct")])
 
 
 def _trim_sql(rounds: int) -> str:
