@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litholake.llm.tokens import CHUNK_BYTES, chunks, text_buffer
-from litholake.session import materialise
+from litholake.session import materialise, spread
 
 #: Encodings of one byte a character, of several bytes, as they are read or written in error.
 SINGLE = ("cp1252", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "cp437", "cp850", "cp852", "cp866", "koi8_r", "mac_roman", "iso8859_2", "iso8859_5", "iso8859_15")
@@ -475,6 +475,7 @@ def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``max_sources``."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), normal_source(F.col(source_col)).alias("source"), F.col(text_col).alias("text")).filter("text is not null and text <> ''")
+    docs = spread(docs)
     counts = materialise(count_pairs(docs, "text"), "pairs")
     judge = spark.sparkContext.broadcast(Judge(fit_model(counts, max_entries)))
     for k in range(model_rounds):
