@@ -5,61 +5,50 @@ are NumPy functions over a sorted group; everything around them stays relational
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _by_group(df: DataFrame, keys: Sequence[str], order: Sequence, kernel, schema: T.StructType) -> DataFrame:
-    """Applies ``kernel(pdf)`` to each group, streaming sorted groups through a partition (no per-group job)."""
-    k = list(keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pd.DataFrame] = []
-        target = None
+def _by_group(df: DataFrame, keys: Sequence[str], order: Sequence, columns: Sequence[str], kernel: Callable[..., np.ndarray]) -> DataFrame:
+    """The rows of each group whose positions ``kernel(*columns)`` returns, given the group's sorted column values.
 
-        def out(group: pd.DataFrame) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pandas(kernel(group.reset_index(drop=True)), schema=target, preserve_index=False)
+    Sorted groups stream through a partition; all groups of a batch are cut out by one comparison of neighbouring keys
+    and their survivors by one take, so many small groups cost little. Only a group that is still open is carried over."""
+    k = list(keys)
 
-        from pyspark.sql.pandas.types import to_arrow_schema
+    def choose(t: pa.Table, bounds: np.ndarray) -> pa.Table:
+        values = [t[c].combine_chunks().to_numpy(zero_copy_only=False) for c in columns]
+        keep = [np.array([s]) if e - s == 1 else s + kernel(*(v[s:e] for v in values)) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return t.take(pa.array(np.concatenate(keep))) if keep else t.slice(0, 0)
 
-        target = to_arrow_schema(schema)
-        last = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
         for b in batches:
-            pdf = b.to_pandas()
-            if not len(pdf):
+            if not b.num_rows:
                 continue
-            code = pd.MultiIndex.from_frame(pdf[k].astype(object).where(pdf[k].notna(), None)) if k else None
-            change = np.ones(len(pdf), bool)
-            if k:
-                rows = list(code)
-                change[1:] = [rows[i] != rows[i - 1] for i in range(1, len(rows))]
-                change[0] = last is None or rows[0] != last
-            else:
-                change[:] = False
-                change[0] = last is None
-                rows = [()] * len(pdf)
-            starts = np.flatnonzero(change)
-            prev = 0
-            for s in starts:
-                if s > prev:
-                    held.append(pdf.iloc[prev:s])
-                if held:
-                    yield out(pd.concat(held))
-                    held = []
-                prev = s
-            held.append(pdf.iloc[prev:])
-            last = rows[-1]
-        if held:
-            yield out(pd.concat(held))
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+            new = np.zeros(t.num_rows, bool)
+            new[0] = True
+            for c in k:
+                v = t[c].combine_chunks()
+                left, right = v[:-1], v[1:]
+                differs = pc.fill_null(pc.not_equal(left, right), False).to_numpy(zero_copy_only=False) | (pc.is_null(left).to_numpy(zero_copy_only=False) != pc.is_null(right).to_numpy(zero_copy_only=False))
+                new[1:] |= differs
+            starts = np.flatnonzero(new)
+            if len(starts) > 1:
+                yield from choose(t, starts).to_batches()
+            held = t.slice(int(starts[-1]))
+        if held is not None:
+            yield from choose(held, np.array([0, held.num_rows])).to_batches()
 
     d = df.repartition(*k) if k else df.coalesce(1)
-    return d.sortWithinPartitions(*[F.col(c) for c in k], *order).mapInArrow(run, schema)
+    return d.sortWithinPartitions(*[F.col(c) for c in k], *order).mapInArrow(run, df.schema)
 
 
 def nms_keep(x: np.ndarray, y: np.ndarray, radius: float, limit: int | None = None) -> np.ndarray:
@@ -80,7 +69,7 @@ def nms_keep(x: np.ndarray, y: np.ndarray, radius: float, limit: int | None = No
 def nms_peaks(df: DataFrame, keys: Sequence[str], x: str, y: str, score: str, order: str, radius: float, limit: int | None = None) -> DataFrame:
     """Peaks by descending score (ties by ``order``), none closer than ``radius`` to a better one. W14, G8."""
     d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
-    return _by_group(d, keys, [F.col(score).desc(), F.col(order)], lambda g: g.iloc[nms_keep(g[x].to_numpy(float), g[y].to_numpy(float), radius, limit)], df.schema)
+    return _by_group(d, keys, [F.col(score).desc(), F.col(order)], [x, y], lambda gx, gy: nms_keep(gx.astype(float), gy.astype(float), radius, limit))
 
 
 def stratified_peaks(df: DataFrame, image: Sequence[str], x: str, y: str, score: str, order: str, tile: float, per_tile: int, radius: float, limit: int) -> DataFrame:
@@ -92,7 +81,7 @@ def stratified_peaks(df: DataFrame, image: Sequence[str], x: str, y: str, score:
     near = nms_peaks(t, [*image, "__tx", "__ty"], x, y, score, order, radius, per_tile)
     w = Window.partitionBy(*image, "__tx", "__ty").orderBy(F.col(score).desc(), order)
     ranked = near.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= per_tile)
-    out = _by_group(ranked, image, [F.col("__rank"), F.col(score).desc(), F.col(order)], lambda g: g.iloc[nms_keep(g[x].to_numpy(float), g[y].to_numpy(float), radius, limit)], ranked.schema)
+    out = _by_group(ranked, image, [F.col("__rank"), F.col(score).desc(), F.col(order)], [x, y], lambda gx, gy: nms_keep(gx.astype(float), gy.astype(float), radius, limit))
     return out.drop("__tx", "__ty", "__rank")
 
 
@@ -114,7 +103,7 @@ def greedy_match(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id
     l_ = l_.select(*keys, left_id, "lx", "ly", (cell("l", "x") + F.col("n.a")).alias("cx"), (cell("l", "y") + F.col("n.b")).alias("cy"))
     r_ = right.select(*keys, right_id, F.col("x").alias("rx"), F.col("y").alias("ry")).withColumns({"cx": cell("r", "x"), "cy": cell("r", "y")})
     c = l_.join(r_, [*keys, "cx", "cy"]).withColumn("distance", F.hypot(F.col("lx") - F.col("rx"), F.col("ly") - F.col("ry"))).filter(F.col("distance") <= tolerance).select(*keys, left_id, right_id, "distance")
-    return _by_group(c, keys, [F.col("distance"), F.col(left_id), F.col(right_id)], lambda g: g.iloc[greedy_pairs(g["distance"].to_numpy(float), g[left_id].to_numpy(), g[right_id].to_numpy())], c.schema)
+    return _by_group(c, keys, [F.col("distance"), F.col(left_id), F.col(right_id)], ["distance", left_id, right_id], greedy_pairs)
 
 
 def suppress_overlaps(boxes: np.ndarray, share: float) -> np.ndarray:
@@ -135,4 +124,4 @@ def suppress_overlaps(boxes: np.ndarray, share: float) -> np.ndarray:
 def suppress_duplicates(df: DataFrame, keys: Sequence[str], score: str, area: str, order: str, share: float = 0.7) -> DataFrame:
     """Boxes (columns x0, y0, x1, y1) by descending score and area; one that overlaps a better one by ``share`` of the
     smaller area is dropped. J18."""
-    return _by_group(df, keys, [F.col(score).desc(), F.col(area).desc(), F.col(order)], lambda g: g.iloc[suppress_overlaps(g[["x0", "y0", "x1", "y1"]].to_numpy(float), share)], df.schema)
+    return _by_group(df, keys, [F.col(score).desc(), F.col(area).desc(), F.col(order)], ["x0", "y0", "x1", "y1"], lambda *c: suppress_overlaps(np.column_stack(c).astype(float), share))

@@ -92,3 +92,23 @@ ORACLES: dict[str, str] = {
     "p1_found": f"with {_REFS} select src_table, ref_field, record_id, ref_month from gone",
     "p1_report": f"with {_REFS} select src_table, ref_field, ref_month, count(*) as orphans from gone group by 1, 2, 3",
 }
+
+_LOCATED = """
+c as (select distinct on (component_id) * from defect_components order by component_id, ingested_at),
+u as (select component_id, wafer_id, scan_no, cell_row, cell_col, bbox_px b, scale_to_original_px s, list_filter(polygon_px, lambda p: p is not null and len(p) >= 2 and p[1] is not null and p[2] is not null) g from c),
+m as (select *, case when len(g) > 0 then (list_min(list_transform(g, lambda p: p[1])) + list_max(list_transform(g, lambda p: p[1]))) / 2.0::double when len(b) >= 4 then b[1] + b[3] / 2.0::double end x,
+ case when len(g) > 0 then (list_min(list_transform(g, lambda p: p[2])) + list_max(list_transform(g, lambda p: p[2]))) / 2.0::double when len(b) >= 4 then b[2] + b[4] / 2.0::double end y from u),
+loc as (select component_id, wafer_id, scan_no, crop_x0_dbu + dbu_per_px * (x * coalesce(s[1], 1)) x, crop_y1_dbu - dbu_per_px * (y * coalesce(s[2], 1)) y from m join cells using (cell_row, cell_col) where x is not null and y is not null)
+"""
+ORACLES["p3_found"] = f"""with {_LOCATED},
+cellk as (select *, floor(x / 280)::bigint gx, floor(y / 280)::bigint gy from loc),
+near as (select a.component_id, b.component_id t from cellk a cross join (select unnest([-1, 0, 1]) dx) cross join (select unnest([-1, 0, 1]) dy) join cellk b on a.wafer_id = b.wafer_id and a.scan_no = b.scan_no and b.gx = a.gx + dx and b.gy = a.gy + dy
+ where a.component_id < b.component_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 280 * 280),
+r0 as (select distinct on (element_index) element_index, list_filter(points, lambda p: p is not null) p from boundaries where layer in (4, 8) and len(points) >= 3 order by element_index),
+r1 as (select element_index, p, len(p) n, list_min(list_transform(p, lambda q: q.x)) x0, list_max(list_transform(p, lambda q: q.x)) x1, list_min(list_transform(p, lambda q: q.y)) y0, list_max(list_transform(p, lambda q: q.y)) y1 from r0),
+r2 as (select * from r1 where list_sum(list_transform(range(1, n + 1), lambda i: p[i].x::double * p[i % n + 1].y - p[i].y::double * p[i % n + 1].x)) <> 0),
+box as (select component_id, element_index, x, y, p, n from loc join r2 on x between x0 and x1 and y between y0 and y1),
+e as (select component_id, element_index, x, y, p[i].x::double ax, p[i].y::double ay, p[i % n + 1].x::double bx, p[i % n + 1].y::double by_ from (select *, unnest(range(1, n + 1)) i from box)),
+k as (select component_id, element_index, bool_or((bx - ax) * (y - ay) - (by_ - ay) * (x - ax) = 0 and x between least(ax, bx) and greatest(ax, bx) and y between least(ay, by_) and greatest(ay, by_)) onl,
+ sum(case when (ay > y) <> (by_ > y) and x < ax + (bx - ax) * (y - ay) / nullif(by_ - ay, 0) then 1 else 0 end) c from e group by 1, 2)
+select 'near' as relation, component_id, t as target_id from near union all select 'inside', component_id, element_index from k where onl or c % 2 = 1"""
