@@ -32,18 +32,19 @@ def ear_clip(points: list[tuple[int, int]]) -> list[tuple]:
     out: list[tuple] = []
     while len(ring) > 3:
         n, best = len(ring), None
-        for i in range(n):
-            a, b, c = ring[i - 1], ring[i], ring[(i + 1) % n]
-            turn = _cross(a, b, c)
-            if turn == 0:  # straight on, or a spike
-                if (a[0] - b[0]) * (c[0] - b[0]) + (a[1] - b[1]) * (c[1] - b[1]) > 0 or a == c:
-                    out.append((a, b, c))
-                best = i
-                break
-            if turn > 0 and not any(_in_triangle(p, a, b, c) for p in ring if p not in (a, b, c)):
+        corners = [(ring[i - 1], ring[i], ring[(i + 1) % n]) for i in range(n)]
+        turns = [_cross(*c) for c in corners]
+        if 0 in turns:  # straight on, or a spike; first of all, since a spike's foot would pass for an ear
+            best = turns.index(0)
+            a, b, c = corners[best]
+            if (a[0] - b[0]) * (c[0] - b[0]) + (a[1] - b[1]) * (c[1] - b[1]) > 0:
                 out.append((a, b, c))
-                best = i
-                break
+        else:
+            for i, (a, b, c) in enumerate(corners):
+                if turns[i] > 0 and not any(_in_triangle(p, a, b, c) for p in ring if p not in (a, b, c)):
+                    out.append((a, b, c))
+                    best = i
+                    break
         if best is None:  # the outline crosses itself: cut the corner with the least area, so that the work ends
             convex = [(abs(_cross(ring[i - 1], ring[i], ring[(i + 1) % n])), i) for i in range(n)]
             best = min(convex)[1]
