@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from litholake.functions.geometry import bounds
 from litholake.kernels.clip import area, boolean
@@ -48,17 +49,19 @@ def cut(polygons: DataFrame, cutters: DataFrame, op: str = "not", bucket: float
         raise ValueError("op must be 'not' or 'and'")
     m = candidates(polygons, cutters, bucket, keys)
     kept = ", ".join(f"{k} {polygons.schema[k].dataType.simpleString()}" for k in keys)
+    point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+    target = pa.schema([*to_arrow_schema(polygons.select(*keys).schema), pa.field("id", pa.int64()), pa.field("piece_no", pa.int32()), pa.field("points", pa.list_(point)), pa.field("area", pa.float64())])
     schema = f"{kept + ', ' if kept else ''}id long, piece_no int, points {_PTS}, area double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for r in b.to_dict("records"):
+            for r in b.to_pylist():
                 for n, piece in enumerate(boolean([_ring(r["points"])], [_ring(c) for c in r["cutters"]], op)):
-                    rows.append((*(r[k] for k in keys), r["id"], n, [{"x": x, "y": y} for x, y in piece], area([piece])))
-            yield pd.DataFrame(rows, columns=[*keys, "id", "piece_no", "points", "area"])
+                    rows.append({k: r[k] for k in keys} | {"id": r["id"], "piece_no": n, "points": [{"x": x, "y": y} for x, y in piece], "area": area([piece])})
+            yield pa.RecordBatch.from_pylist(rows, schema=target)
 
-    pieces = m.mapInPandas(run, schema)
+    pieces = m.mapInArrow(run, schema)
     if op == "and":
         return pieces
     from litholake.functions.geometry import signed_area

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,7 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="litholake-"))
+        own = tempfile.mkdtemp(prefix="litholake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir("file://" + own)
     return sc.getCheckpointDir().rstrip("/")
 
 
