@@ -24,6 +24,7 @@ from __future__ import annotations
 import codecs
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,6 +164,7 @@ class Judge:
 
     def __init__(self, model: Bigrams):
         self.model = model
+        self.token = uuid.uuid4().hex
         self.cache: dict[str, tuple[bool, dict[tuple, float]]] = {}
 
     def __getstate__(self) -> dict:
@@ -224,6 +226,18 @@ class Judge:
         return out
 
 
+_RESIDENT: dict[str, Judge] = {}
+
+
+def resident(token: str, judge: Broadcast) -> Judge:
+    """The judge of this worker process. Spark drops a broadcast from a worker as soon as another stage doesn't use it,
+    and the scores of its islands with it; here they outlive the stages between."""
+    if token not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[token] = judge.value
+    return _RESIDENT[token]
+
+
 def _piecewise(chain: tuple) -> bool:
     return all(w == "lost" or (w == "utf_8" and r in UNREAD) for r, w in chain)
 
@@ -338,8 +352,10 @@ EVIDENCE = "source string, segment string, chains array<string>, ratios array<do
 def evidence(docs: DataFrame, judge: Broadcast) -> DataFrame:
     """One row for each segment with a hopeful chain, and for each batch and source the number of its other segments."""
 
+    token = judge.value.token
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        j = judge.value
+        j = resident(token, judge)
         target = pa.schema([("source", pa.string()), ("segment", pa.string()), ("chains", pa.list_(pa.string())), ("ratios", pa.list_(pa.float64())), ("clean", pa.int64())])
         for b in batches:
             rows, clean = [], {}
@@ -431,8 +447,10 @@ def repaired_counts(found: DataFrame, odds: Broadcast) -> DataFrame:
 def decide(docs: DataFrame, judge: Broadcast, odds: Broadcast) -> DataFrame:
     """``doc_id, chains, repaired, complete`` of the garbled texts."""
 
+    token = judge.value.token
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        j, table, default = judge.value, odds.value, math.log(1e-4)
+        j, table, default = resident(token, judge), odds.value, math.log(1e-4)
         for b in batches:
             rows = []
             for doc, source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
