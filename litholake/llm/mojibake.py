@@ -211,6 +211,11 @@ class Judge:
                 if utf8 and score > -15 and len(done) + 1 < MAX_STEPS and not fixed.isascii():
                     self._chains(fixed, (*done, step), base, out)
 
+    def unsuspicious(self, text: str) -> bool:
+        """Whether no island of a text has a hopeful chain, which settles it without cutting it into segments. Texts with
+        East Asian writing are cut first, since there segments may border on each other within a word."""
+        return text.isascii() or not WIDE.search(text) and not any(self.island(i)[0] for i in islands_of(text))
+
     def segment(self, islands: list[str]) -> dict[tuple, float]:
         """Chains of a segment with the sum of their islands' ratios. Steps that undo sequence by sequence leave other
         islands as they are; any other chain must be possible throughout. Only sums above 0 can win and are returned."""
@@ -361,13 +366,13 @@ def evidence(docs: DataFrame, judge: Broadcast) -> DataFrame:
             rows, clean = [], {}
             for source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 n = 0
-                for s in segments_of(text) if not text.isascii() else ():
+                for s in segments_of(text) if not j.unsuspicious(text) else ():
                     found = j.segment(islands_of(s)) if not s.isascii() else None
                     if found:
                         rows.append((source, s, [name_of(c) for c in found], [round(v, 1) for v in found.values()], None))
                     else:
                         n += 1
-                clean[source] = clean.get(source, 0) + (n or 1)
+                clean[source] = clean.get(source, 0) + (n or text.count("\n") + 1)
             rows += [(source, None, None, None, n) for source, n in clean.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)] if rows else [pa.array([], f.type) for f in target], schema=target)
 
@@ -454,7 +459,7 @@ def decide(docs: DataFrame, judge: Broadcast, odds: Broadcast) -> DataFrame:
         for b in batches:
             rows = []
             for doc, source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if text.isascii():
+                if j.unsuspicious(text):
                     continue
                 parts = segments_of(text)
                 found = {k: j.segment(islands_of(s)) for k, s in enumerate(parts) if not s.isascii()}
