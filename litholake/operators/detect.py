@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litholake.kernels import passes as kernel_passes
 from litholake.kernels import raster
 from litholake.operators.greedy import suppress_duplicates
 from litholake.operators.rollup import first_reason
@@ -37,10 +38,10 @@ class Params:
 
 
 PEAKS = ("large", "compact", "chroma_large", "dark_local", "dark", "chroma", "forced")
-SCHEMA = "image string, height int, width int, x int, y int, w int, h int, area_px int, angle double, score double, mean_score double, seam_frac double, design_frac double, polygon_px array<array<int>>, error string, " + ", ".join(f"{p} double" for p in PEAKS)
+SCHEMA = "image string, height int, width int, x int, y int, w int, h int, area_px int, angle double, score double, mean_score double, seam_frac double, design_frac double, polygon_px array<array<int>>, reason string, error string, " + ", ".join(f"{p} double" for p in PEAKS)
 
 
-def candidates(images: DataFrame, params: Params = Params(), image_col: str = "image", content_col: str = "content", seam_col: str | None = None, design_col: str | None = None) -> DataFrame:
+def candidates(images: DataFrame, params: Params = Params(), passes: tuple = (), image_col: str = "image", content_col: str = "content", seam_col: str | None = None, design_col: str | None = None) -> DataFrame:
     """Components above the threshold of each image (PNG bytes), with their evidence. Optional masks (PNG, any grey above
     0) mark seams and the design: candidates outside the design score nothing. An image that can't be read gives one row
     with ``error``; an image without candidates gives none; null images are skipped."""
@@ -56,6 +57,15 @@ def candidates(images: DataFrame, params: Params = Params(), image_col: str = "i
         if masks[1] is not None:
             score = np.where(masks[1], score, 0)
         labels, n = raster.label(raster.open_close(score >= params.threshold, params.open_radius, params.close_radius))
+        reasons = ["kept"] * n
+        if passes:  # later passes see what the base has taken; touching masks become one, with their reasons joined
+            found = [("kept", labels == k) for k in range(1, n + 1)]
+            found += kernel_passes.run(passes, planes, labels > 0, mask if masks[1] is None else mask & masks[1])
+            found = kernel_passes.merge_adjacent([(r, kernel_passes.tidy(m) & mask) for r, m in found])
+            labels, reasons = np.zeros((h, w), np.int32), [r for r, _ in found]
+            for k, (_, m) in enumerate(found, 1):
+                labels[m & (labels == 0)] = k
+            n = len(found)
         if not n:
             return []
         t = raster.component_table(labels, n, {"score": score, "seam": np.zeros((h, w)) if masks[0] is None else masks[0].astype(float), "design": np.ones((h, w)) if masks[1] is None else masks[1].astype(float), **planes})
@@ -64,7 +74,7 @@ def candidates(images: DataFrame, params: Params = Params(), image_col: str = "i
         for k in np.flatnonzero(t["area"] >= params.min_area):
             x, y, cw, ch = (int(t[c][k]) for c in ("x0", "y0", "w", "h"))
             poly = [[int(round(px * sx)), int(round(py * sy))] for px, py in raster.component_polygon(labels, k + 1, x, y, cw, ch)]
-            out.append((name, full_h, full_w, int(round(x * sx)), int(round(y * sy)), max(1, int(round(cw * sx))), max(1, int(round(ch * sy))), int(round(t["area"][k] * sx * sy)), None if np.isnan(t["angle"][k]) else float(t["angle"][k]), round(float(t["score_max"][k]), 3), round(float(t["score_mean"][k]), 3), round(float(t["seam_mean"][k]), 3), float(t["design_mean"][k]), poly, None, *(float(t[f"{p}_{'mean' if p == 'forced' else 'max'}"][k]) for p in PEAKS)))
+            out.append((name, full_h, full_w, int(round(x * sx)), int(round(y * sy)), max(1, int(round(cw * sx))), max(1, int(round(ch * sy))), int(round(t["area"][k] * sx * sy)), None if np.isnan(t["angle"][k]) else float(t["angle"][k]), round(float(t["score_max"][k]), 3), round(float(t["score_mean"][k]), 3), round(float(t["seam_mean"][k]), 3), float(t["design_mean"][k]), poly, reasons[k], None, *(float(t[f"{p}_{'mean' if p == 'forced' else 'max'}"][k]) for p in PEAKS)))
         return out
 
     names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -75,7 +85,7 @@ def candidates(images: DataFrame, params: Params = Params(), image_col: str = "i
                 try:
                     rows = one(*r)
                 except ValueError as e:
-                    rows = [(r[0], *[None] * 13, str(e), *[None] * len(PEAKS))]
+                    rows = [(r[0], *[None] * 14, str(e), *[None] * len(PEAKS))]
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
@@ -116,13 +126,13 @@ def reject_reason(p: Params = Params()) -> Column:
     )
 
 
-def detect(images: DataFrame, params: Params = Params(), **columns: str) -> DataFrame:
-    """Kept components of each image: box, polygon, area, scores, ``reason``. Duplicates of better boxes are dropped."""
-    c = candidates(images, params, **columns)
+def detect(images: DataFrame, params: Params = Params(), passes: tuple = kernel_passes.USUAL, **columns: str) -> DataFrame:
+    """Kept components of each image: box, polygon, area, scores, ``reason``. Duplicates of better boxes are dropped (D6, D14). ``passes``: what follows the base components; an empty tuple leaves those alone."""
+    c = candidates(images, params, passes, **columns)
     kept = c.withColumn("reject", reject_reason(params)).filter("reject is null").drop("reject")
     b = kept.withColumns({"x0": F.col("x"), "y0": F.col("y"), "x1": F.col("x") + F.col("w"), "y1": F.col("y") + F.col("h"), "ord": F.xxhash64("x", "y", "w", "h")})
     best = suppress_duplicates(b, ["image"], "score", "area_px", "ord", params.duplicate_share)
-    return best.select("image", F.array("x", "y", "w", "h").alias("bbox_px"), "polygon_px", "area_px", "score", "mean_score", F.col("seam_frac").alias("seam_overlap_frac"), F.lit("kept").alias("reason"))
+    return best.select("image", F.array("x", "y", "w", "h").alias("bbox_px"), "polygon_px", "area_px", "score", "mean_score", F.col("seam_frac").alias("seam_overlap_frac"), "reason")
 
 
 def cluster_regions(defects: DataFrame, reach: float = 120.0, least: int = 7) -> DataFrame:

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from litholake.kernels import borders, passes
 from litholake.kernels import raster as r
 from litholake.operators import detect
 
@@ -117,3 +118,50 @@ def test_cluster_regions_and_roi(spark):
     one = full.filter("image = 'i'").orderBy(full.bbox_px[0]).first()
     assert (one.bbox_px, one.polygon_px, one.area_px) == ([100, 50, 10, 10], [[100, 50], [120, 70]], 100)
     assert full.filter("image = 'j'").first().bbox_px == [0, 0, 5, 5]
+
+
+def test_passes_add_spots_and_tidy():
+    planes = {k: np.zeros((120, 140), np.float32) for k in ("large", "compact", "chroma_large", "dark_local", "dark", "chroma")}
+    planes["dark_local"][50:53, 60:63] = 20
+    planes["dark_local"][50, 80] = 15
+    planes["chroma_large"][0:14, 30:60] = 9
+    planes["chroma_large"][100:104, :] = 9
+    found = passes.run(passes.USUAL[:3], planes, np.zeros((120, 140), bool), np.ones((120, 140), bool))
+    spots = [int(m.sum()) for reason, m in found if reason == "kept_tiny_dark"]
+    assert spots == [9, 1] and sum(m[5, 40] for _, m in found) == 1
+    ring = np.zeros((20, 20), bool)
+    ring[4:12, 4:12] = True
+    ring[7, 7] = False
+    assert passes.fill_holes(ring, 5)[7, 7] and not passes.fill_holes(ring, 0)[7, 7]
+    a, b, c = (np.zeros((30, 30), bool) for _ in range(3))
+    a[2:10, 2:10] = b[3:5, 3:5] = c[2:10, 12:15] = True
+    merged = passes.merge_adjacent([("kept", a), ("spot", b), ("edge", c)])
+    assert [x[0] for x in merged] == ["kept+edge"]
+
+
+def test_border_is_found_and_rectified():
+    rng = np.random.default_rng(4)
+    img = np.full((300, 320, 3), 60.0)
+    img[60:240, 70:250] = 130 + 40 * ((np.arange(180) // 4) % 2)[None, :, None]
+    img = np.clip(img + rng.normal(0, 2, img.shape), 0, 255).astype(np.uint8)
+    got = borders.rectify(img, np.array([[76, 66], [244, 64], [245, 234], [75, 236]], float))
+    assert got["success"] and np.abs(got["corners"] - np.array([[70, 60], [249, 60], [249, 239], [70, 239]])).max() <= 4
+    blank = borders.rectify(np.full((300, 320, 3), 90, np.uint8), np.array([[76, 66], [244, 64], [245, 234], [75, 236]], float))
+    assert not blank["success"] and blank["image"].shape[2] == 3
+
+
+def test_wafer_circle_squares_and_pose():
+    y, x = np.ogrid[:200, :220]
+    disc = np.where((x - 110) ** 2 + (y - 95) ** 2 <= 80**2, 200, 20).astype(np.uint8)
+    cx, cy, rad = borders.wafer_circle(disc)
+    assert abs(cx - 110) < 1 and abs(cy - 95) < 1 and abs(rad - 80) < 1.5
+    grey = np.full((120, 120), 40, np.uint8)
+    for k in range(3):
+        grey[30:40, 20 + 30 * k : 30 + 30 * k] = 220
+    t = borders.bright_squares(grey, 10)
+    assert np.allclose(sorted(t["cx"]), [24.5, 54.5, 84.5], atol=1.0)
+    square = np.zeros((101, 101), np.uint8)
+    square[28:69, 34:75] = 200
+    edge = np.array([(i, s) for i in range(-20, 21, 2) for s in (-20.5, 20.5)] + [(s, i) for i in range(-20, 21, 2) for s in (-20.5, 20.5)])
+    pose = borders.best_pose(square, edge, np.radians(np.arange(-6, 7, 3)), np.array([0.8, 1.0, 1.2]))
+    assert abs(pose["x"] - 54) <= 1.5 and abs(pose["y"] - 48) <= 1.5 and pose["scale"] == 1.0 and abs(pose["angle"]) < 0.06
