@@ -112,6 +112,8 @@ def reject_reason(p: Params = Params()) -> Column:
     at_x = (F.col("x") <= margin) | (F.col("x") + F.col("w") >= F.col("width") - margin)
     at_y = (F.col("y") <= margin) | (F.col("y") + F.col("h") >= F.col("height") - margin)
     low = F.col("score")
+    # the registration target of every crop: small, at the bottom centre, neither dark nor reaching the edge
+    at_bottom_centre = ((F.col("x") + F.col("w") / 2) / F.col("width")).between(0.425, 0.575) & (F.col("y") + F.col("h") / 2 >= 0.865 * F.col("height")) & (F.col("w") * F.col("h") < 0.014 * pixels)
     return first_reason(
         ("unreadable", F.col("error").isNotNull()),
         ("small", F.col("area_px") < p.min_area),
@@ -122,6 +124,7 @@ def reject_reason(p: Params = Params()) -> Column:
         ("sparse", (fill < 0.22) & (low < p.min_score + 1) & (F.col("compact") < p.min_score + 1) & ~forced),
         ("frame", (at_x | at_y) & (line | (F.col("area_px") < F.greatest(F.lit(260.0), 0.00045 * pixels)) | ((aspect > 5) & (fill < 0.55))) & ~forced & (low < p.min_score + 14)),
         ("frame_small", at_y & (F.col("area_px") < F.greatest(F.lit(1500.0), 0.003 * pixels))),
+        ("target", at_bottom_centre & ~forced & (F.col("dark_local") < p.min_score + 2) & (F.col("y") + F.col("h") < F.col("height") - 3)),
         ("seam", (F.col("seam_frac") >= p.seam_reject) & ((aspect >= 4) | ((F.col("h") > 0.45 * F.col("height")) & (F.col("w") < 0.08 * F.col("width")))) & (low < p.min_score + 3)),
     )
 

@@ -165,3 +165,11 @@ def test_wafer_circle_squares_and_pose():
     edge = np.array([(i, s) for i in range(-20, 21, 2) for s in (-20.5, 20.5)] + [(s, i) for i in range(-20, 21, 2) for s in (-20.5, 20.5)])
     pose = borders.best_pose(square, edge, np.radians(np.arange(-6, 7, 3)), np.array([0.8, 1.0, 1.2]))
     assert abs(pose["x"] - 54) <= 1.5 and abs(pose["y"] - 48) <= 1.5 and pose["scale"] == 1.0 and abs(pose["angle"]) < 0.06
+
+
+def test_reject_reasons_in_order(spark):
+    base = {"height": 1000, "width": 1000, "x": 300, "y": 400, "w": 40, "h": 40, "area_px": 1200, "angle": 10.0, "score": 12.0, "seam_frac": 0.0, "error": None, "large": 0.0, "compact": 12.0, "chroma_large": 0.0, "dark_local": 0.0, "dark": 0.0, "chroma": 0.0, "forced": 0.0}
+    cases = {None: {}, "unreadable": {"error": "x"}, "small": {"area_px": 5}, "large": {"area_px": 300_000, "w": 600, "h": 600}, "weak": {"score": 8.0}, "line": {"w": 4, "h": 60, "area_px": 200, "angle": 90.0}, "sparse": {"w": 90, "h": 90, "score": 9.0, "compact": 9.0}, "frame": {"x": 10, "w": 20, "h": 20, "area_px": 300}, "frame_small": {"y": 20, "score": 30.0}, "target": {"x": 480, "y": 870}, "seam": {"seam_frac": 0.9, "w": 20, "h": 90, "score": 9.0, "angle": 0.0, "compact": 12.0}}
+    schema = ", ".join(f"{k} {'string' if k in ('want', 'error') else 'int' if k in ('height', 'width', 'x', 'y', 'w', 'h', 'area_px') else 'double'}" for k in ("want", *base))
+    df = spark.createDataFrame([(want, *(base | c).values()) for want, c in cases.items()], schema)
+    assert [(r.want, r.got) for r in df.select("want", detect.reject_reason().alias("got")).collect()] == [(k, k) for k in cases]
