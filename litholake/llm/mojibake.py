@@ -69,10 +69,12 @@ LEADS = {r: {READ[r][b] for b in range(0xC2, 0xF5)} for r in SINGLE}
 FOLLOWS = {r: {READ[r][b] for b in range(0x80, 0xC0)} | {chr(i) for i in range(0x80, 0xA0)} | {"\ufffd"} for r in SINGLE}
 _CONT = "[\x80-\xbf�]"
 UTF8 = re.compile(f"[\xc2-\xdf]{_CONT}|[\xe0-\xef]{_CONT}{{2}}|[\xf0-\xf4]{_CONT}{{3}}")
-ISLAND = re.compile(r"[^\s\x00-\x20]*[^\x00-\x7f](?:[^\t\n\r ]*[^\x00-\x7f])?[^\t\n\r ]?")
+#: All patterns here take time in proportion to the text, whatever it looks like.
+SPACES = re.compile(r"[\t\n\r ]+")
+BORDER = re.compile(r"(?<=[.!?。！？]) |[。！？]|[\n\r]+")
+ASCII = "".join(map(chr, range(128)))
 NUMBER = re.compile(r"[0-9][0-9.,]+")
 LATIN = re.compile(r"[0-9A-Za-z_.,-]+")
-SEGMENT = re.compile(r"[^\n\r]*?(?:[.!?。！？]+[ ]|[。！？]|[\n\r]+|$)", re.S)
 _W = "\u2e80-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
 WIDE = re.compile(f"[{_W}]")
 STRETCH = re.compile(f"[{_W}][{_W}\ufffd]*|[^{_W}]+")
@@ -251,12 +253,13 @@ def islands_of(segment: str) -> list[str]:
     """Islands with one character of context on either side. Numbers are no evidence and are shortened, and so are Latin
     names within East Asian writing, which makes islands recur."""
     out = []
-    for m in ISLAND.finditer(segment):
-        a, b = m.start(), m.end()
-        while segment[a].isascii():
-            a += 1
-        a = max(a - 1, m.start())
-        s = NUMBER.sub("0", segment[a:b])
+    for word in SPACES.split(segment):
+        if word.isascii():
+            continue
+        tail = word.lstrip(ASCII)
+        a = len(word) - len(tail)
+        b = a + len(tail.rstrip(ASCII))
+        s = NUMBER.sub("0", word[max(a - 1, 0) : b + 1])
         if WIDE.search(s):
             s = LATIN.sub("0", s)
         out.append((s if s[0].isascii() else " " + s) + ("" if s[-1].isascii() else " "))
@@ -267,10 +270,10 @@ def segments_of(text: str) -> list[str]:
     """Sentences and lines; where wide (East Asian) writing meets other characters beyond ASCII, each is a segment of its
     own, since a sentence garbled by a single-byte reading may follow a clean one without any space."""
     out = []
-    for s in SEGMENT.findall(text):
+    ends = [m.end() for m in BORDER.finditer(text)]
+    for s in [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]:
         if s.isascii() or not WIDE.search(s):
-            if s:
-                out.append(s)
+            out.append(s)
             continue
         held = ""
         for part in STRETCH.findall(s):

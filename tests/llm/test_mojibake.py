@@ -28,6 +28,21 @@ def test_segments_restore_the_text():
         assert "".join(m.segments_of(t)) == t
 
 
+def test_time_is_in_proportion_to_the_text():
+    import time
+
+    for t in ("." * 300_000 + "é", "A" * 300_000 + "é", "é." * 150_000, "1," * 150_000 + "é", "漢a" * 100_000, "Ã" * 200_000):
+        began = time.time()
+        assert "".join(m.segments_of(t)) == t
+        assert m.islands_of(t)
+        assert time.time() - began < 3
+
+
+def test_islands():
+    assert m.islands_of("ab 53,2µm. x é") == ["2µm", " é "]
+    assert m.islands_of("«x» 1,52 µ") == [" «x» ", " µ "] and m.islands_of("plain\n") == []
+
+
 def test_found_and_repaired(spark):
     r, clean = corpus()
     rows = [(i, t, r.choice(["a", "B", None])) for i, t in enumerate(clean)]
