@@ -190,6 +190,7 @@ class Judge:
         if all(c.isspace() or c in "\ufeff\u200b" for c in beyond):  # odd spaces alone tell nothing
             return
         scored: dict[str, float] = {}
+        deeper: set[str] = set()
         one, log = self.model.one, self.model.log
         if not done and LOST in beyond:
             out[(LOST_STEP,)] = log(text, lost=LOST_LOG) - base
@@ -210,7 +211,8 @@ class Judge:
                     score = scored[fixed] = log(fixed, base + (-15.0 if utf8 else WORST), LOST_LOG) - base if plain else -math.inf
                 if score > WORST:
                     out[(*done, step)] = score
-                if utf8 and score > -15 and len(done) + 1 < MAX_STEPS and not fixed.isascii():
+                if utf8 and score > -15 and len(done) + 1 < MAX_STEPS and fixed not in deeper and not fixed.isascii():
+                    deeper.add(fixed)  # readers that agree on an island lead to the same next step
                     self._chains(fixed, (*done, step), base, out)
 
     def unsuspicious(self, text: str) -> bool:
