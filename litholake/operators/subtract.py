@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from litholake.functions.geometry import bounds
 from litholake.kernels.clip import area, boolean
 from litholake.operators.rollup import hierarchical_loss
+from litholake.session import materialise
 
 _PTS = "array<struct<x:double,y:double>>"
 
@@ -25,19 +26,20 @@ def _doubles(c: str):
     return F.transform(c, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
 
 
-def candidates(polygons: DataFrame, cutters: DataFrame, bucket: float, keys: Sequence[str] = ()) -> DataFrame:
+def candidates(polygons: DataFrame, cutters: DataFrame, bucket: float, keys: Sequence[str] = (), each: Sequence[str] = ()) -> DataFrame:
     """Each polygon (id, points) with the array of cutters whose boxes overlap its own. The boxes' grid cells are the
-    join key; a pair counts in the cell where its overlap begins."""
-    def boxed(df: DataFrame, p: str, i: str) -> DataFrame:
-        d = df.select(*keys, F.col(i).alias(f"{p}id"), _doubles("points").alias(f"{p}pts")).withColumn("b", bounds(F.col(f"{p}pts"))).filter("b is not null").select("*", *[F.col(f"b.{c}").alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")]).drop("b")
+    join key; a pair counts in the cell where its overlap begins. ``each``: keys that only the cutters have; a polygon
+    comes out once for each of their values, null included, that touches it."""
+    def boxed(df: DataFrame, p: str, i: str, own: Sequence[str] = ()) -> DataFrame:
+        d = df.select(*own, *keys, F.col(i).alias(f"{p}id"), _doubles("points").alias(f"{p}pts")).withColumn("b", bounds(F.col(f"{p}pts"))).filter("b is not null").select("*", *[F.col(f"b.{c}").alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")]).drop("b")
         d = d.withColumn("gx", F.explode(F.sequence(F.floor(F.col(f"{p}x0") / bucket), F.floor(F.col(f"{p}x1") / bucket))))
         return d.withColumn("gy", F.explode(F.sequence(F.floor(F.col(f"{p}y0") / bucket), F.floor(F.col(f"{p}y1") / bucket))))
 
-    a, c = boxed(polygons, "a", "id"), boxed(cutters, "c", "id")
+    a, c = boxed(polygons, "a", "id"), boxed(cutters, "c", "id", each)
     sx, sy = F.greatest("ax0", "cx0"), F.greatest("ay0", "cy0")
     hit = (F.col("ax0") < F.col("cx1")) & (F.col("cx0") < F.col("ax1")) & (F.col("ay0") < F.col("cy1")) & (F.col("cy0") < F.col("ay1")) & (F.floor(sx / bucket) == F.col("gx")) & (F.floor(sy / bucket) == F.col("gy"))
     m = a.join(c, [*keys, "gx", "gy"]).filter(hit)
-    return m.groupBy(*keys, "aid").agg(F.first("apts").alias("points"), F.collect_list("cpts").alias("cutters")).withColumnRenamed("aid", "id")
+    return m.groupBy(*each, *keys, "aid").agg(F.first("apts").alias("points"), F.collect_list("cpts").alias("cutters")).withColumnRenamed("aid", "id")
 
 
 def cut(polygons: DataFrame, cutters: DataFrame, op: str = "not", bucket: float = 1000.0, keys: Sequence[str] = ()) -> DataFrame:
@@ -70,12 +72,63 @@ def cut(polygons: DataFrame, cutters: DataFrame, op: str = "not", bucket: float
     return rest.join(m.select(*keys, "id"), [*keys, "id"], "left_anti").unionByName(pieces)
 
 
+def measured(polygons: DataFrame, cutters: DataFrame, op: str, bucket: float, keys: Sequence[str], each: Sequence[str]) -> DataFrame:
+    """``polygons op cutters`` in figures, for each value of the cutters' keys ``each`` by itself: ``each, keys, id, before,
+    pieces, after`` of the polygons that are touched, areas before and after. The polygons are not repeated for values
+    that leave them whole."""
+    m = candidates(polygons, cutters, bucket, keys, each)
+    own = [*each, *keys]
+    target = pa.schema([*to_arrow_schema(m.select(*own).schema), pa.field("id", pa.int64()), pa.field("before", pa.float64()), pa.field("pieces", pa.int64()), pa.field("after", pa.float64())])
+    schema = "".join(f"{k} {m.schema[k].dataType.simpleString()}, " for k in own) + "id long, before double, pieces long, after double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                ring = _ring(r["points"])
+                got = boolean([ring], [_ring(c) for c in r["cutters"]], op)
+                rows.append({k: r[k] for k in own} | {"id": r["id"], "before": area([ring]), "pieces": len(got), "after": area(got)})
+            yield pa.RecordBatch.from_pylist(rows, schema=target)
+
+    return m.mapInArrow(run, schema)
+
+
+def _on_layers(defects: DataFrame, layers: DataFrame) -> DataFrame:
+    return defects.join(F.broadcast(layers))  # a few layers
+
+
+def _left_join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which null keys equal each other."""
+    b = b.select(*[F.col(k).alias(f"_{k}") if k in on else F.col(k) for k in b.columns])
+    match = F.lit(True)
+    for k in on:
+        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return a.join(b, match, "left").drop(*[f"_{k}" for k in on])
+
+
+def subtract_totals(design: DataFrame, defects: DataFrame, target_layers: Sequence[int], groups: DataFrame, bucket: float = 1000.0) -> DataFrame:
+    """Pieces and area of each layer as ``subtract_layers`` leaves it, for each group of defects by itself: ``groups'
+    columns, layer, pieces, area``. G1.
+
+    ``defects`` (groups' columns, id, points) hold the columns of ``groups``; a group without defects leaves the design
+    unchanged. The design is totalled once, each group adds only what its defects change."""
+    from litholake.functions.geometry import signed_area
+
+    each = groups.columns
+    base = design.groupBy("layer").agg(F.count("*").alias("n"), F.sum(F.abs(signed_area(F.col("points")))).alias("whole"))
+    layers = design.sparkSession.createDataFrame([(int(k),) for k in target_layers], "layer int")
+    m = measured(design.filter(F.col("layer").isin(list(target_layers))), _on_layers(defects, layers), "not", bucket, ["layer"], each)
+    diff = m.groupBy(*each, "layer").agg(F.sum(F.col("pieces") - 1).alias("more"), F.sum(F.col("before") - F.col("after")).alias("less"))
+    out = _left_join(groups.crossJoin(F.broadcast(base)), diff, [*each, "layer"])
+    return out.select(*each, "layer", (F.col("n") + F.coalesce("more", F.lit(0))).alias("pieces"), (F.col("whole") - F.coalesce("less", F.lit(0.0))).alias("area"))
+
+
 def subtract_layers(design: DataFrame, defects: DataFrame, target_layers: Sequence[int], bucket: float = 1000.0) -> DataFrame:
     """Design (layer, id, points) with the defects (id, points) cut from the target layers; other layers pass through.
     G1. With no defects the design comes out unchanged."""
     hit = F.col("layer").isin(list(target_layers))
     through = design.filter(~F.coalesce(hit, F.lit(False))).select("layer", F.col("id").cast("long").alias("id"), F.lit(0).alias("piece_no"), _doubles("points").alias("points"))
-    cutters = defects.join(F.broadcast(design.sparkSession.createDataFrame([(int(k),) for k in target_layers], "layer int")))  # a few layers
+    cutters = _on_layers(defects, design.sparkSession.createDataFrame([(int(k),) for k in target_layers], "layer int"))
     return through.unionByName(cut(design.filter(hit), cutters, "not", bucket, ["layer"]).drop("area"))
 
 
@@ -112,3 +165,23 @@ def removal_report(original: DataFrame, final: DataFrame, devices: DataFrame, bu
     both = w.select("layer", "id").join(within(original, "before"), ["layer", "id"], "left").join(within(final, "after"), ["layer", "id"], "left").join(names, "id")
     lost = both.withColumn("lost", F.greatest(F.coalesce("before", F.lit(0.0)) - F.coalesce("after", F.lit(0.0)), F.lit(0.0)))
     return hierarchical_loss(lost, ["device", "layer"], "before", "lost")
+
+
+def removal_by_group(original: DataFrame, defects: DataFrame, devices: DataFrame, groups: DataFrame, bucket: float = 1000.0) -> DataFrame:
+    """``removal_report`` of the design (layer, id, points) after all its layers were cut by the defects of one group, for
+    each group by itself: ``groups' columns, depth, device, layer, ...``; depth 0 is a group as a whole. A7, G3.
+
+    ``defects`` (groups' columns, id, points) hold the columns of ``groups``; a group without defects loses nothing. What
+    lies within the devices is found once, as disjoint pieces; a group loses their overlap with its defects."""
+    each = groups.columns
+    win = materialise(devices.select("device", F.monotonically_increasing_id().alias("id"), "points"), "windows")
+    layers = original.select("layer").distinct()
+    w = win.drop("device").join(F.broadcast(layers))  # layers of a design are few
+    inside = cut(w.select("layer", "id", "points"), original.select("layer", "id", "points"), "and", bucket, ["layer"])
+    inside = materialise(inside.select("layer", F.col("id").alias("window"), F.monotonically_increasing_id().alias("id"), "points", "area"), "inside")
+    before = w.select("layer", "id").join(inside.groupBy("layer", F.col("window").alias("id")).agg(F.sum("area").alias("before")), ["layer", "id"], "left").join(win.select("id", "device"), "id")
+    m = measured(inside, _on_layers(defects, layers), "and", bucket, ["layer"], each).select(*each, "id", F.col("after").alias("gone"))
+    lost = m.join(inside.select("id", "layer", "window"), "id").groupBy(*each, "layer", F.col("window").alias("id")).agg(F.sum("gone").alias("lost"))
+    both = _left_join(groups.crossJoin(F.broadcast(before)), lost, [*each, "layer", "id"])  # as many rows as devices and layers
+    out = hierarchical_loss(both, [*each, "device", "layer"], "before", "lost")
+    return out.filter(F.col("depth") >= len(each)).withColumn("depth", F.col("depth") - len(each))

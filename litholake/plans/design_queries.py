@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litholake.functions.geometry import bounds
+from litholake.functions.geometry import bounds, signed_area
 from litholake.operators import fingers, subtract
-from litholake.plans.problems_core import located_components
 from litholake.plans.reference_queries import bound
-from litholake.session import materialise, table
+from litholake.session import table
 from litholake.sources import annotations
 
 GRID_LAYER, TARGET_LAYER = 3, 4
@@ -41,11 +40,29 @@ def q52_grid_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingers.hanging_pieces(design_boxes(spark, sf_dir), cells, GRID_LAYER)[1]
 
 
+SCAN = ("wafer_id", "scan_no")
+
+
 def _cutters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Squares of 60 DBU about the components of the first scan of the reference wafer."""
-    pt = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
-    loc = located_components(spark, sf_dir).filter("wafer_id = 'Wafer_refgrid' and scan_no = 1")
-    return loc.select(F.col("component_id").alias("id"), F.array(pt(-30, -30), pt(30, -30), pt(30, 30), pt(-30, 30)).alias("points"))
+    """Outlines of all components in the design (DBU), each component once: ``wafer_id, scan_no, id, points``.
+
+    The scaled points of ``polygon_px``; where fewer than three are usable or they span no area, the scaled box. A
+    component with neither cuts nothing. Components of an unknown wafer stay under null."""
+    c = table(spark, sf_dir, "defect_components", "component_id", *SCAN, "cell_row", "cell_col", "polygon_px", "bbox_px", "scale_to_original_px")
+    cells = table(spark, sf_dir, "cells", "cell_row", "cell_col", "crop_x0_dbu", "crop_y1_dbu", "dbu_per_px")
+    at = lambda a, i: F.get(a, F.lit(i)).cast("double")
+    pt = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    ring = F.transform(F.filter("polygon_px", lambda p: at(p, 0).isNotNull() & at(p, 1).isNotNull()), lambda p: pt(at(p, 0), at(p, 1)))
+    x, y, w, h = (at(F.col("bbox_px"), i) for i in range(4))
+    box = F.when((w > 0) & (h > 0) & x.isNotNull() & y.isNotNull(), F.array(pt(x, y), pt(x + w, y), pt(x + w, y + h), pt(x, y + h)))
+    px = c.withColumn("ring", ring).withColumn("px", F.when(F.abs(signed_area(F.col("ring"))) >= 1e-9, F.col("ring")).otherwise(box)).filter("px is not null").dropDuplicates(["component_id"])
+    sx, sy = (F.coalesce(at(F.col("scale_to_original_px"), i), F.lit(1.0)) for i in (0, 1))
+    placed = px.withColumns({"sx": sx, "sy": sy}).join(cells, ["cell_row", "cell_col"])
+    return placed.select(*SCAN, F.col("component_id").alias("id"), F.transform("px", lambda p: pt(F.col("crop_x0_dbu") + F.col("dbu_per_px") * p["x"] * F.col("sx"), F.col("crop_y1_dbu") - F.col("dbu_per_px") * p["y"] * F.col("sy"))).alias("points"))
+
+
+def _scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "defect_components", *SCAN).distinct()
 
 
 def _design(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,21 +70,18 @@ def _design(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q53_subtracted_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1: pieces and area of each layer after defects have been cut from the metal layer."""
-    from litholake.functions.geometry import signed_area
-
-    out = subtract.subtract_layers(_design(spark, sf_dir), _cutters(spark, sf_dir), [TARGET_LAYER], 4000.0)
-    return out.groupBy("layer").agg(F.count("*").alias("pieces"), F.bround(F.sum(F.abs(signed_area(F.col("points")))), 3).alias("area"))
+    """G1: pieces and area of each layer after the defects of a wafer and scan have been cut from the metal layer."""
+    out = subtract.subtract_totals(_design(spark, sf_dir), _cutters(spark, sf_dir), [TARGET_LAYER], _scans(spark, sf_dir), 4000.0)
+    return out.withColumn("area", F.bround("area", 3))
 
 
 def q54_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area lost per device and layer."""
+    """Area lost per wafer and scan, device and layer."""
     before = _design(spark, sf_dir).filter(F.col("layer") == TARGET_LAYER)
-    after = materialise(subtract.subtract_layers(before, _cutters(spark, sf_dir), [TARGET_LAYER], 4000.0), "subtracted")
     pt = lambda x, y: F.struct((F.col(x) * 10).alias("x"), (F.col(y) * 10).alias("y"))
     devices = table(spark, sf_dir, "cells").select(F.concat_ws("-", "cell_row", "cell_col").alias("device"), F.array(pt("bbox_um.x0", "bbox_um.y0"), pt("bbox_um.x1", "bbox_um.y0"), pt("bbox_um.x1", "bbox_um.y1"), pt("bbox_um.x0", "bbox_um.y1")).alias("points"))
-    rep = subtract.removal_report(before, after, devices, 4000.0)
-    return rep.select("depth", "device", "layer", *[F.bround(c, 3).alias(c) for c in ("original", "removed", "remaining", "weighted_pct", "mean_pct")])
+    rep = subtract.removal_by_group(before, _cutters(spark, sf_dir), devices, _scans(spark, sf_dir), 4000.0)
+    return rep.select(*SCAN, "depth", "device", "layer", *[F.bround(c, 3).alias(c) for c in ("original", "removed", "remaining", "weighted_pct", "mean_pct")])
 
 
 def q55_metadata_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,49 @@ def test_shunts(spark):
     seg = spark.createDataFrame([(1, 0.0, 0.0, 2.0, 50.0), (2, 10.0, 0.0, 12.0, 100.0), (3, 20.0, 60.0, 22.0, 100.0), (4, 0.0, 200.0, 50.0, 210.0)], "id long, x0 double, y0 double, x1 double, y1 double")
     got = {(r.id, r.end): (r.sx0, r.sx1) for r in subtract.shunts(seg, 10.0, 2.0).collect()}
     assert got == {(1, "low"): (1.0, 11.0), (1, "high"): (1.0, 11.0), (2, "low"): (1.0, 11.0), (2, "high"): (11.0, 21.0), (3, "low"): (11.0, 21.0), (3, "high"): (11.0, 21.0)}
+
+
+def test_each_group_of_defects_has_its_own_result(spark):
+    sq = lambda x, y, w, h: [{"x": float(u), "y": float(v)} for u, v in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))]
+    design = spark.createDataFrame([(4, 1, sq(0, 0, 100, 100)), (4, 2, sq(50, 0, 100, 100)), (4, 5, sq(200, 0, 100, 100)), (2, 3, sq(0, 0, 100, 100)), (None, 4, sq(0, 0, 1, 1))], f"layer int, id long, points {subtract._PTS}")
+    rows = [("a", 1, 1, sq(10, 10, 10, 10)), ("a", 1, 2, sq(15, 15, 10, 10)), ("a", 2, 3, sq(60, 20, 60, 5)), ("b", 1, 4, sq(190, -10, 200, 200)), (None, 1, 5, sq(0, 0, 7, 7)), ("c", 1, 6, sq(900, 900, 5, 5))]
+    defects = spark.createDataFrame(rows, f"wafer string, scan int, id long, points {subtract._PTS}")
+    groups = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), ("c", 1), ("d", 1)], "wafer string, scan int")
+    devices = spark.createDataFrame([("1-1", sq(0, 0, 120, 100)), ("1-2", sq(200, 0, 100, 100)), ("9-9", sq(900, 900, 10, 10))], f"device string, points {subtract._PTS}")
+    totals = subtract.subtract_totals(design, defects, [4], groups, 64.0).collect()
+    report = subtract.removal_by_group(design.filter("layer = 4"), defects, devices, groups, 64.0).collect()
+    assert len(totals) == 6 * 3 and len(report) == 6 * (3 + 3 + 1)
+    for wafer, scan in [tuple(r) for r in groups.collect()]:
+        out = subtract.subtract_layers(design, spark.createDataFrame([r[2:] for r in rows if r[:2] == (wafer, scan)], f"id long, points {subtract._PTS}"), [4], 64.0)
+        want: dict = {}
+        for r in out.collect():
+            n, a = want.get(r.layer, (0, 0.0))
+            want[r.layer] = n + 1, a + area([[(p.x, p.y) for p in r.points]])
+        assert {r.layer: (r.pieces, round(r.area, 6)) for r in totals if (r.wafer, r.scan) == (wafer, scan)} == {k: (v[0], round(v[1], 6)) for k, v in want.items()}
+        rep = subtract.removal_report(design.filter("layer = 4"), out.filter("layer = 4"), devices, 64.0).collect()
+        figures = lambda r: (r.depth, r.device, r.layer, *[None if v is None else round(v, 6) for v in (r.original, r.removed, r.remaining, r.weighted_pct, r.mean_pct)])
+        assert sorted(map(repr, (figures(r) for r in report if (r.wafer, r.scan) == (wafer, scan)))) == sorted(map(repr, map(figures, rep)))
+
+
+def test_all_wafers_and_outlines_are_cut(spark, data):
+    from litholake.plans import design_queries as q
+
+    scans = {tuple(r) for r in q._scans(spark, data).collect()}
+    assert len(scans) > 1
+    whole = {r.layer: r.a for r in q._design(spark, data).groupBy("layer").agg({"points": "count"}).withColumnRenamed("count(points)", "a").collect()}
+    got = q.q53_subtracted_layers(spark, data).collect()
+    assert {(r.wafer_id, r.scan_no) for r in got} == scans and len(got) == len(scans) * len(whole)
+    cutters = q._cutters(spark, data).collect()
+    comps = {r.component_id: r for r in spark.read.parquet(f"{data}/defect_components.parquet").dropDuplicates(["component_id"]).collect()}
+    cells = {(r.cell_row, r.cell_col): r for r in spark.read.parquet(f"{data}/cells.parquet").collect()}
+    assert len({c.id for c in cutters}) == len(cutters) > 0.9 * len(comps) and {(c.wafer_id, c.scan_no) for c in cutters} == scans
+    for c in cutters:
+        r = comps[c.id]
+        k, (sx, sy) = cells[r.cell_row, r.cell_col], r.scale_to_original_px or (1.0, 1.0)
+        ring = [p for p in r.polygon_px or [] if p is not None and len(p) >= 2 and None not in p[:2]]
+        if abs(sum(p[0] * s[1] - p[1] * s[0] for p, s in zip(ring, ring[1:] + ring[:1], strict=True))) < 1e-9:
+            x, y, w, h = r.bbox_px[:4]
+            ring = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+        assert [(p.x, p.y) for p in c.points] == [(k.crop_x0_dbu + k.dbu_per_px * p[0] * sx, k.crop_y1_dbu - k.dbu_per_px * p[1] * sy) for p in ring]
+    lost = {(r.wafer_id, r.scan_no): r.removed for r in q.q54_removal_report(spark, data).filter("depth = 0").collect()}
+    assert set(lost) == scans and sum(v > 0 for v in lost.values()) > 1
