@@ -1,4 +1,4 @@
-"""Border rectification, bright squares and pose search."""
+"""Border rectification, bright squares and pose search."""
 
 from __future__ import annotations
 

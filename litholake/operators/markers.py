@@ -1,4 +1,4 @@
-"""Marker lattices and registration.
+"""Marker lattices and registration.
 
 Candidate squares, lattice hypotheses and their acceptance are relational; only the one-to-one matching of a hypothesis
 is sequential (twelve points). Geometry of the marker: 3 columns x 4 rows of equal squares."""
@@ -81,7 +81,8 @@ def match_lattice(squares: DataFrame, hypotheses: DataFrame, tolerance: float, l
 
 
 def rejection(expected_pitch: float) -> Column:
-    """Why a fitted lattice (matches, scale, rmsd, size_ratio, size_cv) is not accepted; empty means valid. P13, L5."""
+    """Why a fitted lattice (matches, scale, rmsd, size_ratio, size_cv) is not accepted; empty means valid. The caller
+    computes these columns. P13."""
     return reasons(
         ("fewer than 10 of 12 squares", F.col("matches") < 10),
         ("error above 10 % of the pitch", F.col("rmsd") > 0.10 * F.col("scale")),

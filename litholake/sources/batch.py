@@ -1,4 +1,4 @@
-"""Batch files, directory expansion, run layout, tiles and config."""
+"""Batch files, directory expansion, run layout, tiles and config."""
 
 from __future__ import annotations
 
