@@ -289,6 +289,14 @@ def segments_of(text: str) -> list[str]:
     return out
 
 
+def count_borders(text: str) -> int:
+    """Number of sentences and lines: that of ``segments_of`` for a text without East Asian writing, which isn't cut."""
+    n = end = 0
+    for m in BORDER.finditer(text):
+        n, end = n + 1, m.end()
+    return n + (end < len(text))
+
+
 def name_of(chain: tuple) -> str:
     return "+".join(f"{w}<{r}" for r, w in chain)
 
@@ -370,14 +378,15 @@ def evidence(docs: DataFrame, judge: Broadcast) -> DataFrame:
         for b in batches:
             rows, clean = [], {}
             for source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                n = 0
-                for s in segments_of(text) if not j.unsuspicious(text) else ():
+                whole = j.unsuspicious(text)
+                n = count_borders(text) if whole else 0
+                for s in segments_of(text) if not whole else ():
                     found = j.segment(islands_of(s)) if not s.isascii() else None
                     if found:
                         rows.append((source, s, [name_of(c) for c in found], [round(v, 1) for v in found.values()], None))
                     else:
                         n += 1
-                clean[source] = clean.get(source, 0) + (n or text.count("\n") + 1)
+                clean[source] = clean.get(source, 0) + n
             rows += [(source, None, None, None, n) for source, n in clean.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)] if rows else [pa.array([], f.type) for f in target], schema=target)
 

@@ -69,3 +69,13 @@ def test_prior_is_pooled_by_source():
     cand = [("x", 2.0)]
     assert m.posterior(cand, lambda c: 0.0)["x"] > 0.8 > 0.5 > m.posterior(cand, lambda c: -6.0)["x"]
     assert m.posterior([], lambda c: 0.0) == {}
+
+
+def test_uncut_texts_count_their_segments(spark):
+    import numpy as np
+
+    texts = ["One. Two! Three? Four", "One.\nTwo.\r\n\nThree. ", "Für die Schicht. Noch größer.", "\n\n", "x"]
+    assert [m.count_borders(t) for t in texts] == [len(m.segments_of(t)) for t in texts]
+    judge = spark.sparkContext.broadcast(m.Judge(m.Bigrams(np.array([], np.int64), np.array([]), 0.0)))
+    docs = spark.createDataFrame([("a", texts[0]), ("b", texts[1])], "source string, text string")
+    assert {r.source: r.clean for r in m.evidence(docs, judge).collect() if r.clean} == {"a": 4, "b": len(m.segments_of(texts[1]))}
