@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -58,16 +57,30 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted when the program ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: a cut of the lineage that survives lost executors."""
-    path = scratch_path(df.sparkSession, label)
+    """Write ``df`` once to the shared folder and read it back: a cut of the lineage that survives lost executors.
+
+    What is still there when the program ends is deleted then; ``discard`` deletes it earlier."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame | None) -> None:
+    """Deletes the files of a table that ``materialise`` returned and that nothing reads any more."""
+    if df is not None:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            drop_path(df.sparkSession, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -77,15 +90,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@atexit.register
+def _drop_all() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            drop_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session is gone, and the folder is the cluster's to clean
+            return
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out evenly where the input has fewer splits than the cluster has cores (one small file); else as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def data_dir(default: str = "/root/testdata/sf0.001") -> str:
-    return os.environ.get("LITHOLAKE_DATA", default)
