@@ -22,10 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litholake.operators.skew import with_salts
+
 BITS, EXACT_BITS, DEPTH, WIDTH = 25, 12, 5, 2048
 LEVELS = BITS - EXACT_BITS
-#: A partial result of at most this many values travels as its codes, from which the counters follow; else as counters.
-SPARSE = 16384
+#: A sketch of at most this many values is written as the list of its codes, which is smaller than its counters and from
+#: which they follow; it is the same sketch, merged and deleted in the same way.
+SPARSE = 4096
+#: Codes of small sketches are gathered up to this number before their counters are computed.
+GATHER = 1 << 16
 
 _rng = np.random.default_rng(20240229)
 _A, _B = (_rng.integers(0, 2**63, (2, LEVELS, DEPTH), dtype=np.uint64) | np.uint64(1) for _ in range(2))
@@ -70,9 +75,14 @@ class DyadicCountSketch:
         """Adds (or with sign -1 deletes) values given as codes."""
         if len(codes):
             self.exact += sign * np.bincount(codes >> LEVELS, minlength=len(self.exact))
+            if len(codes) > 64:
+                codes, n = np.unique(codes, return_counts=True)
+            else:
+                n = np.ones(len(codes), np.int64)
+            n = sign * n
             for level in range(LEVELS):
                 at, s = self._place(codes >> (LEVELS - 1 - level), level)
-                np.add.at(self.rows, at.ravel(), sign * s.ravel())
+                np.add.at(self.rows, at.ravel(), (s * n).ravel())
         return self
 
     def add(self, other: DyadicCountSketch, sign: int = 1) -> DyadicCountSketch:
@@ -105,13 +115,13 @@ class DyadicCountSketch:
     def to_bytes(self) -> bytes:
         return b"D" + zlib.compress(np.concatenate([self.exact, self.rows]).astype("<i8").tobytes(), 1)
 
-    def absorb(self, data: bytes) -> DyadicCountSketch:
-        """Adds a serialised sketch."""
+    def absorb(self, data: bytes, sign: int = 1) -> DyadicCountSketch:
+        """Adds (or with sign -1 subtracts) a serialised sketch."""
         if data[:1] == b"C":
-            return self.update(np.frombuffer(data, "<i4", offset=1).astype(np.int64))
+            return self.update(np.frombuffer(data, "<i4", offset=1).astype(np.int64), sign)
         both = np.frombuffer(zlib.decompress(data[1:]), "<i8")
-        self.exact += both[: len(self.exact)]
-        self.rows += both[len(self.exact) :]
+        self.exact += sign * both[: len(self.exact)]
+        self.rows += sign * both[len(self.exact) :]
         return self
 
 
@@ -119,62 +129,113 @@ def pack(codes: np.ndarray) -> bytes:
     return b"C" + codes.astype("<i4").tobytes() if len(codes) <= SPARSE else DyadicCountSketch().update(codes).to_bytes()
 
 
-def partial_sketches(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], id_col: str, salts: int = 16) -> DataFrame:
+class _Growing:
+    """Sketches of many groups under way in one task; small ones are held as codes, large ones as counters."""
+
+    def __init__(self, budget: int):
+        self.budget, self.held = budget, 0
+        self.codes: dict[tuple, list[np.ndarray]] = {}
+        self.count: dict[tuple, int] = {}
+        self.full: dict[tuple, DyadicCountSketch] = {}
+
+    def put(self, key: tuple, codes: np.ndarray) -> None:
+        self.count[key] = self.count.get(key, 0) + len(codes)
+        if key in self.full:
+            self.full[key].update(codes)
+            return
+        held = self.codes.setdefault(key, [])
+        held.append(codes.astype(np.int32))
+        self.held += 4 * len(codes) + 200
+        if self.count[key] > SPARSE:
+            self.held += 8 * (LEVELS * DEPTH * WIDTH + (1 << EXACT_BITS)) - 4 * self.count[key]
+            self.full[key] = DyadicCountSketch().update(np.concatenate(self.codes.pop(key)).astype(np.int64))
+
+    def drain(self) -> Iterator[tuple[tuple, int, bytes]]:
+        for key, n in self.count.items():
+            yield key, n, self.full[key].to_bytes() if key in self.full else pack(np.concatenate(self.codes[key]))
+        self.__init__(self.budget)
+
+
+def once_by_id(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], id_col: str) -> DataFrame:
+    """The rows with repeated ids left out, laid out by group with hot groups split: one shuffle of narrow rows, which
+    also keeps a group's partial sketches few. Null ids are left out; repeats within one group must be equal."""
+    flat = df.filter(F.col(id_col).isNotNull()).select(*groups, F.col(id_col).alias("__lit_id"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    salted = with_salts(flat, groups).withColumn("__lit_salt", F.pmod(F.xxhash64("__lit_id"), F.col("__lit_salts"))).drop("__lit_salts")
+    return salted.repartition(*groups, "__lit_salt").dropDuplicates([*groups, "__lit_salt", "__lit_id"]).drop("__lit_salt", "__lit_id")
+
+
+def partial_sketches(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], budget: int = 64 << 20) -> DataFrame:
     """Mergeable sketches: group columns, ``metric``, ``n``, ``sketch`` (bytes), several rows for a group.
 
-    Each id counts once: rows are hashed by group and by ``salts`` parts of the id, so that repeated deliveries meet in
-    one partition (where they are skipped) and a hot group is spread; it is the only shuffle of raw rows. Null, NaN and
-    negative values and null ids take no part; null group columns form a group. Empty input gives no row."""
+    Nothing is shuffled: each task sketches its rows batch by batch and holds at most about ``budget`` bytes; beyond that
+    it hands on what it has and starts anew. Every row counts (see ``once_by_id``), values of either sign; null and NaN
+    values take no part; null group columns form a group. Empty input gives no row."""
     kept = [df.schema[g] for g in groups]
     schema = T.StructType([*kept, T.StructField("metric", T.StringType()), T.StructField("n", T.LongType()), T.StructField("sketch", T.BinaryType())])
     k, names = len(groups), list(metrics)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)  # one partition of a shuffle, narrow columns
-        if not batches:
-            return
-        t = pa.Table.from_batches(batches)
-        _, first = np.unique(t.column(k).combine_chunks().to_numpy(zero_copy_only=False), return_index=True)
-        t = t.take(pa.array(np.sort(first)))
-        codes = np.zeros(t.num_rows, np.int64)
-        for i in range(k):
-            d = t.column(i).combine_chunks().dictionary_encode(null_encoding="encode")
-            codes = np.unique(codes * (len(d.dictionary) + 1) + d.indices.to_numpy(), return_inverse=True)[1]
-        order = np.argsort(codes, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], codes[order][1:] != codes[order][:-1]])) if len(order) else np.zeros(0, np.int64)
-        bounds = np.append(starts, len(order))
-        values = [t.column(k + 1 + m).combine_chunks().to_numpy(zero_copy_only=False).astype(float)[order] for m in range(len(names))]
-        out_rows, out_metric, out_n, out_sketch = [], [], [], []
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        growing, target = _Growing(budget), None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = list(growing.drain())
+            for a in range(0, len(rows), 256):
+                part = rows[a : a + 256]
+                keys = list(zip(*[r[0] for r in part], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*keys, [r[1] for r in part], [r[2] for r in part]], target, strict=True)], schema=target)
+
+        for b in batches:
+            if target is None:
+                target = pa.schema([*(b.schema.field(i) for i in range(k)), pa.field("metric", pa.string()), pa.field("n", pa.int64()), pa.field("sketch", pa.binary())])
+            code = np.zeros(b.num_rows, np.int64)
+            for i in range(k):
+                d = b.column(i).dictionary_encode(null_encoding="encode")
+                code = np.unique(code * (len(d.dictionary) + 1) + d.indices.to_numpy(), return_inverse=True)[1]
+            order = np.argsort(code, kind="stable")
+            edges = np.flatnonzero(np.diff(code[order], prepend=-1)) if len(order) else np.zeros(0, np.int64)
+            heads = list(zip(*(b.column(i).take(pa.array(order[edges])).to_pylist() for i in range(k)), strict=True)) if k else [()] * len(edges)
             for m, name in enumerate(names):
-                v = values[m][a:b]
-                v = v[v >= 0]
-                if len(v):
-                    out_rows.append(order[a])
-                    out_metric.append(name)
-                    out_n.append(len(v))
-                    out_sketch.append(pack(encode(v)))
-        rows = t.take(pa.array(out_rows, pa.int64()))
-        full = pa.table([*(rows.column(i) for i in range(k)), pa.array(out_metric, pa.string()), pa.array(out_n, pa.int64()), pa.array(out_sketch, pa.binary())], names=[*groups, "metric", "n", "sketch"])
-        yield from full.to_batches(max_chunksize=256)
+                v = b.column(k + m).to_numpy(zero_copy_only=False).astype(float)[order]
+                for key, part in zip(heads, np.split(v, edges[1:]), strict=True):
+                    part = part[~np.isnan(part)]
+                    if len(part):
+                        growing.put((*key, name), encode(part))
+            if growing.held > budget:
+                yield from out()
+        if growing.count:
+            yield from out()
 
-    flat = df.filter(F.col(id_col).isNotNull()).select(*groups, F.col(id_col).alias("__lit_id"), *[F.col(m).cast("double") for m in metrics])
-    return flat.repartition(*groups, F.pmod(F.xxhash64("__lit_id"), F.lit(salts))).mapInArrow(run, schema)
+    return df.select(*groups, *[F.col(m).cast("double") for m in metrics]).mapInArrow(run, schema)
+
+
+def subtract_sketches(all_rows: DataFrame, gone: DataFrame, groups: Sequence[str], quantiles: Sequence[float] = ()) -> DataFrame:
+    """The sketches of ``all_rows`` less those of ``gone`` (days that expire, rows that are deleted), as ``merge_sketches``.
+
+    ``gone`` must have been part of ``all_rows``. Groups of which nothing is left come out with ``n`` 0 and null values."""
+    cols = [*groups, "metric", "sketch"]
+    return merge_sketches(all_rows.select(*cols, F.lit(1).alias("sign")).unionByName(gone.select(*cols, F.lit(-1).alias("sign"))), groups, quantiles)
 
 
 def merge_sketches(sketches: DataFrame, groups: Sequence[str], quantiles: Sequence[float] = (), keep_sketch: bool = True) -> DataFrame:
     """One row per group and metric: ``n``, the merged ``sketch`` and/or the values at ``quantiles`` (array ``q``).
 
     Partial sketches arrive sorted, so one set of counters is held at a time, whatever the number of groups. Merging is
-    addition: any split of the rows gives the same result."""
+    addition (subtraction where a column ``sign`` is -1): any split of the rows gives the same result."""
     kept = [sketches.schema[g] for g in groups]
     schema = T.StructType([*kept, T.StructField("metric", T.StringType()), T.StructField("n", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
     k, qs = len(groups), list(quantiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, acc, held = None, None, []
+        key, acc, held, loose, many = None, None, [], {1: [], -1: []}, 0
+
+        def settle() -> None:
+            for sign, parts in loose.items():
+                if parts:
+                    acc.update(np.concatenate(parts).astype(np.int64), sign)
+                    parts.clear()
 
         def flush() -> None:
+            settle()
             held.append((*key, acc.n, acc.to_bytes() if keep_sketch else None, [acc.quantile(q) for q in qs]))
 
         def batch() -> pa.RecordBatch:
@@ -193,11 +254,20 @@ def merge_sketches(sketches: DataFrame, groups: Sequence[str], quantiles: Sequen
                         flush()
                         if len(held) >= 64:
                             yield batch()
-                    key, acc = row[: k + 1], DyadicCountSketch()
-                acc.absorb(row[k + 1])
+                    key, acc, many = row[: k + 1], DyadicCountSketch(), 0
+                data, sign = row[k + 1], row[k + 2]
+                if data[:1] == b"C":
+                    loose[sign].append(np.frombuffer(data, "<i4", offset=1))
+                    many += len(data) // 4
+                    if many > GATHER:
+                        settle()
+                        many = 0
+                else:
+                    acc.absorb(data, sign)
         if key is not None:
             flush()
             yield batch()
 
     by = [*groups, "metric"]
-    return sketches.select(*by, "sketch").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    sign = F.col("sign").cast("int") if "sign" in sketches.columns else F.lit(1).alias("sign")
+    return sketches.select(*by, "sketch", sign).repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)

@@ -19,7 +19,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wafer_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "defect_components", "component_id", "wafer_id", "area_px", "score").filter("wafer_id is not null")
-    return quantiles.partial_sketches(c, ["wafer_id"], ["area_px", "score"], "component_id")
+    c = c.withColumns({m: F.when(F.col(m) >= 0, F.col(m)) for m in ("area_px", "score")})
+    return quantiles.partial_sketches(quantiles.once_by_id(c, ["wafer_id"], ["area_px", "score"], "component_id"), ["wafer_id"], ["area_px", "score"])
 
 
 def p5_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from litholake.llm.quantiles import DyadicCountSketch, decode, encode, merge_sketches, pack, partial_sketches
+from litholake.llm.quantiles import DyadicCountSketch, decode, encode, merge_sketches, once_by_id, pack, partial_sketches, subtract_sketches
 
 
 def rank_error(values, x, q):
@@ -43,15 +43,25 @@ def test_merging_and_deleting_are_exact():
 
 def test_frames(spark):
     r = random.Random(1)
-    rows = [(i, r.choice(["hot", "hot", "b", None]), r.choice([None, -1, r.randint(0, 500)]), r.choice([float("nan"), r.random() * 100])) for i in range(4000)]
+    rows = [(i, r.choice(["hot", "hot", "b", None]), r.choice([None, -1, r.randint(0, 500)]), r.choice([float("nan"), r.random() * 100 - 50])) for i in range(4000)]
     df = spark.createDataFrame(rows + rows[:500] + [(None, "b", 5, 1.0)], "id long, g string, a int, s double")
-    parts = partial_sketches(df, ["g"], ["a", "s"], "id", salts=4)
+    sketch = lambda d, **k: partial_sketches(once_by_id(d, ["g"], ["a", "s"], "id"), ["g"], ["a", "s"], **k)
+    parts = sketch(df)
     got = {(x.g, x.metric): x for x in merge_sketches(parts, ["g"], (0.5,)).collect()}
     for g in ("hot", "b", None):
         for k, m in enumerate(("a", "s")):
-            v = np.array([x[2 + k] for x in rows if x[1] == g and x[2 + k] is not None and x[2 + k] >= 0], float)
+            v = np.array([x[2 + k] for x in rows if x[1] == g and x[2 + k] is not None and x[2 + k] == x[2 + k]], float)
             assert got[g, m].n == len(v) and rank_error(v, got[g, m].q[0], 0.5) < 0.015
-    by_part = merge_sketches(parts, ["g"]).unionByName(merge_sketches(parts.limit(0), ["g"]))
-    again = {(x.g, x.metric): x.q[0] for x in merge_sketches(by_part, ["g"], (0.5,)).collect()}
-    assert again == {k: x.q[0] for k, x in got.items()}
-    assert merge_sketches(partial_sketches(df.limit(0), ["g"], ["a"], "id"), ["g"], (0.5,)).count() == 0
+    for other in (merge_sketches(parts, ["g"]), sketch(df, budget=1000), sketch(df).repartition(7)):
+        again = {(x.g, x.metric): x.q[0] for x in merge_sketches(other, ["g"], (0.5,)).collect()}
+        assert again == {k: x.q[0] for k, x in got.items()}
+    assert merge_sketches(sketch(df.limit(0)), ["g"], (0.5,)).count() == 0
+
+
+def test_days_are_subtracted(spark):
+    df = spark.range(30_000).selectExpr("cast(id % 2 as string) g", "cast(id % 977 as double) x", "id < 9000 old")
+    keep = {(x.g, x.sketch, x.n) for x in merge_sketches(partial_sketches(df.filter("not old"), ["g"], ["x"]), ["g"]).collect()}
+    rest = subtract_sketches(partial_sketches(df, ["g"], ["x"]), partial_sketches(df.filter("old"), ["g"], ["x"]), ["g"], (0.5,)).collect()
+    assert {(x.g, x.sketch, x.n) for x in rest} == keep and all(x.n == 10_500 for x in rest)
+    none = subtract_sketches(partial_sketches(df, ["g"], ["x"]), partial_sketches(df, ["g"], ["x"]), ["g"], (0.5,)).collect()
+    assert all(x.n == 0 and x.q == [None] for x in none)
