@@ -3,19 +3,25 @@
 Model. A text is a row of segments (sentences, lines). Each segment has a latent *encoding chain*: none, or one or more
 steps "written as w, read as r". Given the chain, the stored characters determine the written ones, so the likelihood of
 a segment under a chain is the probability of the repaired characters under a character bigram model of clean text. The
-chain's prior depends on the record's source (and field), and prior and model are fitted by expectation-maximization:
+chain's prior depends on the record's source and field, and prior and model are fitted by expectation-maximization:
 
 * start   bigram counts over all texts as stored;
 * E-step  posterior of every chain of every segment;
-* M-step  prior of a chain = its posterior share among all segments of the source (weak evidence is pooled there);
-          bigram counts = stored counts, with the expected share of each garbled segment replaced by its repaired form.
+* M-step  prior of a chain = its posterior share among all segments of the source and field (weak evidence is pooled);
+          bigram counts = stored counts, with the expected share of each garbled island replaced by its repaired form.
 
-The bigram model is refitted ``model_rounds`` times and the prior ``prior_rounds`` times within each. At last each record
-is decided by posterior: a segment is repaired by its best chain where garbled outweighs clean; a chain that is certain
-in one segment of a text counts as likely in that text's other segments.
+The prior is refitted until the likelihood stands still, the bigram model until the expected number of garbled segments
+does. At last each record is decided by posterior: a segment is repaired by its best chain where garbled outweighs clean;
+a chain that is certain in one segment of a text counts as likely in that text's other segments.
 
-Only *islands* matter for the evidence: maximal stretches without white space that hold a character beyond ASCII. Their
-scores are kept in a bounded cache, since most islands recur. U+FFFD stands for bytes that are lost; it counts as an
+Cost. Only *islands* matter for the evidence: stretches without white space around characters beyond ASCII. Texts are cut
+into islands once; each *distinct* island is scored once per model, whatever the number of texts and tasks; segments,
+priors and decisions are joins of these tables. Only texts that are repaired are read again.
+
+Bounds. Characters are counted exactly (there are 1,114,112), pairs in a count-min table of two rows of 2^21 counters: all
+texts count, nothing is dropped, and the model has one size whatever the corpus. An island may be arbitrary with
+probability e^-12, which bounds what one island can say for or against a chain. A chain goes on for as long as undoing
+UTF-8 changes something, which shortens the text and thus ends. U+FFFD stands for bytes that are lost; it counts as an
 unknown character, is never learned as clean text, and stays in the repaired text.
 """
 
@@ -24,28 +30,28 @@ from __future__ import annotations
 import codecs
 import math
 import re
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litholake.llm.tokens import CHUNK_BYTES, chunks, text_buffer
-from litholake.session import materialise, spread
+from litholake.session import discard, materialise, spread
 
 #: Encodings of one byte a character, of several bytes, as they are read or written in error.
 SINGLE = ("cp1252", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "cp437", "cp850", "cp852", "cp866", "koi8_r", "mac_roman", "iso8859_2", "iso8859_5", "iso8859_15")
-WRITTEN_SINGLE = ("cp1252", "cp1250", "cp1251", "cp437", "cp850", "cp866", "koi8_r", "mac_roman", "iso8859_2")
 MULTI = ("gb18030", "cp932", "euc_jp", "big5", "euc_kr")
 LOST = "�"
 LOST_LOG = -4.5  # log probability of an unknown character
 SMOOTH, FLOOR = 2.0, 0.1
-WORST = -12.0
-MAX_STEPS = 3
-CACHE = 200_000
+WORST = -12.0  # an island may be arbitrary with this log probability
+START, PSEUDO, STRENGTH = 1e-4, 0.5, 20.0  # prior of a chain before any evidence; segments it is granted; weight of all sources in a source's prior, in segments
+BEHIND = 40.0  # a chain that far behind a segment's best has a posterior below 1e-5 whatever the priors (above e^-28)
+PAIR_ROWS, PAIR_BITS = 2, 21
+_HASH = np.array([[0x9E3779B97F4A7C15], [0xD6E8FEB86659FD93]], np.uint64)
 
 
 def _byte_chars(name: str) -> str:
@@ -70,10 +76,9 @@ FOLLOWS = {r: {READ[r][b] for b in range(0x80, 0xC0)} | {chr(i) for i in range(0
 _CONT = "[\x80-\xbf�]"
 UTF8 = re.compile(f"[\xc2-\xdf]{_CONT}|[\xe0-\xef]{_CONT}{{2}}|[\xf0-\xf4]{_CONT}{{3}}")
 #: All patterns here take time in proportion to the text, whatever it looks like.
-SPACES = re.compile(r"[\t\n\r ]+")
 BORDER = re.compile(r"(?<=[.!?。！？]) |[。！？]|[\n\r]+")
-ASCII = "".join(map(chr, range(128)))
 NUMBER = re.compile(r"[0-9][0-9.,]+")
+ISLAND = re.compile(r"[^\t\n\r ]?[^\x00-\x7f](?:[^\t\n\r ]*[^\x00-\x7f])?[^\t\n\r ]?")
 LATIN = re.compile(r"[0-9A-Za-z_.,-]+")
 _W = "\u2e80-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
 WIDE = re.compile(f"[{_W}]")
@@ -82,8 +87,8 @@ codecs.register_error("litholake_lost", lambda e: (b"\xff", e.end))
 
 STEPS = (
     [(r, "utf_8") for r in (*SINGLE, *MULTI)]
-    + [(r, w) for w in WRITTEN_SINGLE for r in SINGLE if r != w]
-    + [(r, w) for w in MULTI for r in ("cp1252", "cp1251", "cp437", "cp850", "mac_roman", *MULTI) if r != w]
+    + [(r, w) for w in SINGLE for r in SINGLE if r != w]
+    + [(r, w) for w in MULTI for r in (*SINGLE, *MULTI) if r != w]
 )
 LOST_STEP = ("utf_8", "lost")
 BY_READER: dict[str, list[tuple[str, str]]] = {}
@@ -132,119 +137,135 @@ def undo(text: str, step: tuple[str, str]) -> str | None:
     return None if out == text else out
 
 
-_WRITE = {w: {b: READ[w][b] for b in range(0x80, 0x100)} for w in WRITTEN_SINGLE}
+_WRITE = {w: {b: READ[w][b] for b in range(0x80, 0x100)} for w in SINGLE}
 
 
-class Bigrams:
-    """Character bigram model with back-off to single characters."""
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, max_chars: float):
-        self.pair = {chr(k >> 21) + chr(k & 0x1FFFFF): c for k, c in zip(keys.tolist(), counts.tolist(), strict=True) if k >= 0}
-        self.one = {chr(-k - 1): c for k, c in zip(keys.tolist(), counts.tolist(), strict=True) if k < 0}
-        self.total = max_chars
 
-    def log(self, text: str, least: float = -math.inf, lost: float | None = None) -> float:
-        """Log probability of all characters but the first; stops below ``least``. ``lost``: that of an unknown one."""
-        total, prev = 0.0, text[0]
-        one, pair, n = self.one, self.pair, self.total + 20000.0
-        lost = math.log(FLOOR / n) if lost is None else lost
-        log = math.log
-        for c in text[1:]:
-            if c == LOST:
-                total += lost
-            else:
-                u = (one.get(c, 0.0) + FLOOR) / n
-                total += log(u) if prev == LOST else log((pair.get(prev + c, 0.0) + SMOOTH * u) / (one.get(prev, 0.0) + SMOOTH))
-            if total < least:
-                return -math.inf
-            prev = c
-        return total
+def pair_cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The counter of a pair in each row of the count-min table."""
+    x = (a.astype(np.uint64) << np.uint64(21)) | b.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return ((x[None, :] * _HASH) >> np.uint64(64 - PAIR_BITS)).astype(np.int64) + (np.arange(PAIR_ROWS)[:, None] << PAIR_BITS)
 
 
-class Judge:
-    """Scores of islands and segments under one bigram model; picklable, with an own cache in each worker."""
+class Counts:
+    """Counters of characters and pairs; linear, so parts are added up and repaired text replaces stored text."""
 
-    def __init__(self, model: Bigrams):
-        self.model = model
-        self.token = uuid.uuid4().hex
-        self.cache: dict[str, tuple[bool, dict[tuple, float]]] = {}
+    def __init__(self) -> None:
+        self.one = np.zeros(0x110000)
+        self.pair = np.zeros(PAIR_ROWS << PAIR_BITS)
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}}
-
-    def island(self, text: str) -> tuple[bool, dict[tuple, float]]:
-        """Log likelihood ratio against "not garbled" of every chain that is possible for an island, and whether one of
-        them is positive."""
-        found = self.cache.get(text)
-        if found is None:
-            out: dict[tuple, float] = {}
-            self._chains(text, (), self.model.log(text), out)
-            found = any(v > 0 for v in out.values()), out
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[text] = found
-        return found
-
-    def _chains(self, text: str, done: tuple, base: float, out: dict) -> None:
-        beyond = {c for c in text if c > "\x7f"}
-        if all(c.isspace() or c in "\ufeff\u200b" for c in beyond):  # odd spaces alone tell nothing
-            return
-        scored: dict[str, float] = {}
-        deeper: set[str] = set()
-        one, log = self.model.one, self.model.log
-        if not done and LOST in beyond:
-            out[(LOST_STEP,)] = log(text, lost=LOST_LOG) - base
-        for reader, steps in BY_READER.items():
-            single = reader in UNREAD
-            whole = not single or beyond <= CHARS[reader]
-            sequences = not single or not (beyond.isdisjoint(LEADS[reader]) or beyond.isdisjoint(FOLLOWS[reader]))
-            for step in steps:
-                utf8 = step[1] == "utf_8"
-                if not (sequences if utf8 else whole):
-                    continue
-                fixed = undo(text, step)
-                if not fixed:
-                    continue
-                score = scored.get(fixed)
-                if score is None:
-                    plain = utf8 or all(c in one for c in fixed if c > "\x7f")
-                    score = scored[fixed] = log(fixed, base + (-15.0 if utf8 else WORST), LOST_LOG) - base if plain else -math.inf
-                if score > WORST:
-                    out[(*done, step)] = score
-                if utf8 and score > -15 and len(done) + 1 < MAX_STEPS and fixed not in deeper and not fixed.isascii():
-                    deeper.add(fixed)  # readers that agree on an island lead to the same next step
-                    self._chains(fixed, (*done, step), base, out)
-
-    def unsuspicious(self, text: str) -> bool:
-        """Whether no island of a text has a hopeful chain, which settles it without cutting it into segments. Texts with
-        East Asian writing are cut first, since there segments may border on each other within a word."""
-        return text.isascii() or not WIDE.search(text) and not any(self.island(i)[0] for i in islands_of(text))
-
-    def segment(self, islands: list[str]) -> dict[tuple, float]:
-        """Chains of a segment with the sum of their islands' ratios. Steps that undo sequence by sequence leave other
-        islands as they are; any other chain must be possible throughout. Only sums above 0 can win and are returned."""
-        scores = [self.island(i) for i in islands]
-        if not any(hopeful for hopeful, _ in scores):
-            return {}
-        out = {}
-        for chain in {c for hopeful, s in scores if hopeful for c, v in s.items() if v > 0}:
-            gap = 0.0 if _piecewise(chain) else WORST
-            total = sum(s.get(chain, gap) for _, s in scores)
-            if total > 0:
-                out[chain] = total
-        return out
+    def add(self, cp: np.ndarray, first: np.ndarray | None = None, weight: float = 1.0) -> None:
+        """Counts characters and pairs; no pair over the border before a ``first`` character, none with U+FFFD."""
+        ok = cp != ord(LOST)
+        np.add.at(self.one, cp[ok], weight)
+        both = ok[1:] & ok[:-1]
+        if first is not None:
+            both &= ~first[1:]
+        np.add.at(self.pair, pair_cells(cp[:-1][both], cp[1:][both]).ravel(), weight)
 
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """``k`` (pairs from 0 on, characters below) and ``n`` of the counters that aren't 0."""
+        one, pair = np.flatnonzero(self.one), np.flatnonzero(self.pair)
+        k, n = np.concatenate([-1 - one, pair]), np.concatenate([self.one[one], self.pair[pair]])
+        for a in range(0, len(k), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(k[a : a + (1 << 16)]), pa.array(n[a : a + (1 << 16)])], names=["k", "n"])
 
-_RESIDENT: dict[str, Judge] = {}
 
+class Bigrams:
+    """Character bigram model with back-off to single characters."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts
+        self._load()
 
-def resident(token: str, judge: Broadcast) -> Judge:
-    """The judge of this worker process. Spark drops a broadcast from a worker as soon as another stage doesn't use it,
-    and the scores of its islands with it; here they outlive the stages between."""
-    if token not in _RESIDENT:
-        _RESIDENT.clear()
-        _RESIDENT[token] = judge.value
-    return _RESIDENT[token]
+    def _load(self) -> None:
+        self.one, self.pair = np.zeros(0x110000), np.zeros(PAIR_ROWS << PAIR_BITS)
+        single = self.keys < 0
+        self.one[-1 - self.keys[single]] = np.maximum(self.counts[single], 0.0)
+        self.pair[self.keys[~single]] = np.maximum(self.counts[~single], 0.0)
+        self.total = float(self.one.sum())
+
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys, "counts": self.counts}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._load()
+
+    def logs(self, texts: Sequence[str], lost: float | None = None) -> np.ndarray:
+        """Log probability of all characters but the first of each text (none empty). ``lost``: that of an unknown one."""
+        n = self.total + 20000.0
+        lost = math.log(FLOOR / n) if lost is None else lost
+        cp = code_points("".join(texts))
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        a, b = cp[:-1], cp[1:]
+        u = (self.one[b] + FLOOR) / n
+        both = self.pair[pair_cells(a, b)].min(axis=0)
+        p = np.where(a == ord(LOST), u, (both + SMOOTH * u) / (np.maximum(self.one[a], both) + SMOOTH))
+        value = np.concatenate([[0.0], np.where(b == ord(LOST), lost, np.log(p))])
+        value[starts[:-1]] = 0.0
+        return np.add.reduceat(value, starts[:-1]) if len(texts) else np.zeros(0)
+
+
+def readings(text: str) -> Iterator[tuple[tuple[str, str], str]]:
+    """Every single step that is possible for a text, with what was written under it."""
+    beyond = {c for c in text if c > "\x7f"}
+    if all(c.isspace() or c in "\ufeff\u200b" for c in beyond):  # odd spaces alone tell nothing
+        return
+    for reader, steps in BY_READER.items():
+        single = reader in UNREAD
+        whole = not single or beyond <= CHARS[reader]
+        sequences = not single or not (beyond.isdisjoint(LEADS[reader]) or beyond.isdisjoint(FOLLOWS[reader]))
+        for step in steps:
+            if (sequences if step[1] == "utf_8" else whole) and (fixed := undo(text, step)):
+                yield step, fixed
+
+
+def score_islands(islands: Sequence[str], model: Bigrams) -> list[dict[tuple, float]]:
+    """For each island the log likelihood ratio of each of its chains against "not garbled".
+
+    Steps are undone level by level, until nothing changes. Undoing UTF-8 shortens a text; of the results that do, those of
+    one step repeated are followed, and the likeliest of the level, under the first chain that leads to it. One island says at most ``WORST``
+    against a chain. That is the default for chains that aren't possible or not listed; only of piecewise chains, whose
+    default is 0, such low ratios are listed."""
+    out: list[dict[tuple, float]] = [{} for _ in islands]
+    if not len(islands):
+        return out
+    base = model.logs(islands)
+    lost = [k for k, t in enumerate(islands) if LOST in t]
+    if lost:
+        for k, v in zip(lost, model.logs([islands[k] for k in lost], LOST_LOG) - base[lost], strict=True):
+            out[k][LOST_STEP,] = float(v)
+    front = [(k, t, [()]) for k, t in enumerate(islands)]
+    seen: list[set[str]] = [{t} for t in islands]
+    while front:
+        found: dict[tuple[int, str], tuple[int, list[tuple], list[tuple]]] = {}
+        for k, text, chains in front:
+            for step, fixed in readings(text):
+                _, every, follow = found.setdefault((k, fixed), (len(text), [], []))
+                more = [(*c, step) for c in chains]
+                every += more
+                if step[1] == "utf_8":
+                    follow += more
+        got = model.logs([t for _, t in found], LOST_LOG) if found else np.zeros(0)
+        front, best = [], {}
+        for ((k, fixed), (size, every, follow)), v in zip(found.items(), got.tolist(), strict=True):
+            ratio = v - base[k]
+            for chain in every:
+                if ratio > WORST or _piecewise(chain):
+                    out[k][chain] = max(out[k].get(chain, WORST), ratio)
+            if follow and len(fixed) < size and not fixed.isascii() and fixed not in seen[k]:
+                seen[k].add(fixed)
+                front.append((k, fixed, follow))
+                best[k] = max(best.get(k, (v, fixed)), (v, fixed))
+        same = [[c for c in f if len(set(c)) == 1] for _, _, f in front]
+        front = [(k, t, [*f[:1], *s[f[0] in s :]] if best[k][1] == t else s) for (k, t, f), s in zip(front, same, strict=True)]
+        front = [f for f in front if f[2]]
+    return out
 
 
 def _piecewise(chain: tuple) -> bool:
@@ -255,13 +276,8 @@ def islands_of(segment: str) -> list[str]:
     """Islands with one character of context on either side. Numbers are no evidence and are shortened, and so are Latin
     names within East Asian writing, which makes islands recur."""
     out = []
-    for word in SPACES.split(segment):
-        if word.isascii():
-            continue
-        tail = word.lstrip(ASCII)
-        a = len(word) - len(tail)
-        b = a + len(tail.rstrip(ASCII))
-        s = NUMBER.sub("0", word[max(a - 1, 0) : b + 1])
+    for word in ISLAND.findall(segment):
+        s = NUMBER.sub("0", word)
         if WIDE.search(s):
             s = LATIN.sub("0", s)
         out.append((s if s[0].isascii() else " " + s) + ("" if s[-1].isascii() else " "))
@@ -323,202 +339,218 @@ def normal_source(c: Column) -> Column:
     return F.translate(F.lower(F.trim(F.coalesce(c, F.lit("")))), "-", "_")
 
 
-def _code_points(buf: np.ndarray) -> np.ndarray:
-    return np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+ROW = ["doc_id", "field", "mark"]
+CUT = "doc_id long, field string, mark long, key string, n long, segs array<struct<no: int, islands: array<string>>>"
+
 
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """Of each text the number of its segments, and the islands of those that have any."""
 
-def _count_keys(cp: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counted keys: -1 - c for characters, a << 21 | b for pairs; pairs over text borders and U+FFFD left out."""
-    ok = cp != ord(LOST)
-    one, n1 = np.unique(cp[ok], return_counts=True)
-    both = ok[1:] & ok[:-1] & ~first[1:]
-    two, n2 = np.unique(((cp[:-1] << 21) | cp[1:])[both], return_counts=True)
-    return np.concatenate([-1 - one, two]), np.concatenate([n1, n2])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, many, no, size, islands = [], [0], [], [0], []
+            for text in b.column(4).to_pylist():
+                if text.isascii():
+                    n.append(count_borders(text))
+                else:
+                    parts = segments_of(text)
+                    n.append(len(parts))
+                    for k, s in enumerate(parts):
+                        if not s.isascii():
+                            islands += islands_of(s)
+                            no.append(k)
+                            size.append(len(islands))
+                many.append(len(no))
+            held = pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(islands, pa.string()))
+            segs = pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.StructArray.from_arrays([pa.array(no, pa.int32()), held], names=["no", "islands"]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, pa.int64()), segs], names=["doc_id", "field", "mark", "key", "n", "segs"])
+
+    return docs.select(*ROW, "key", "text").mapInArrow(run, CUT)
 
 
 def count_pairs(texts: DataFrame, text_col: str) -> DataFrame:
-    """Counts of characters and pairs over all texts: ``k long, n double``."""
+    """Counters of characters and pairs over all texts: ``k long, n double``, of bounded number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = Counts()
         for b in batches:
             buf, offsets = text_buffer(b.column(0))
             for i, j in chunks(offsets, CHUNK_BYTES):
                 part = buf[offsets[i] : offsets[j]]
                 if not len(part):
                     continue
-                cp = _code_points(part)
+                cp = np.frombuffer(part.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
                 lead = np.flatnonzero((part & 0xC0) != 0x80)
                 first = np.zeros(len(cp) + 1, bool)
                 first[np.searchsorted(lead, offsets[i:j] - offsets[i])] = True
-                keys, n = _count_keys(cp, first[: len(cp)])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(float))], names=["k", "n"])
+                c.add(cp, first[: len(cp)])
+        yield from c.rows()
 
     return texts.select(text_col).filter(F.col(text_col) != "").mapInArrow(run, "k long, n double").groupBy("k").agg(F.sum("n").alias("n"))
 
 
-def fit_model(counts: DataFrame, max_entries: int) -> Bigrams:
-    """The ``max_entries`` most frequent characters and pairs; the rest is left to the back-off. This bounds what is
-    gathered and broadcast (500,000 entries are about 8 MB), the counts themselves cover all texts."""
-    total = counts.filter("k < 0").agg(F.sum("n")).first()[0] or 0.0
-    top = counts.filter("n > 0").orderBy(F.col("n").desc(), "k").limit(max_entries).toPandas()
-    return Bigrams(top["k"].to_numpy(np.int64), top["n"].to_numpy(float), float(total))
+def fit_model(counts: DataFrame) -> Bigrams:
+    """The model of all counters that aren't 0: at most 5.3 million rows, whatever the corpus."""
+    top = counts.filter("n > 0").toPandas()
+    return Bigrams(top["k"].to_numpy(np.int64), top["n"].to_numpy(float))
 
 
-EVIDENCE = "source string, segment string, chains array<string>, ratios array<double>, clean long"
-
-
-def evidence(docs: DataFrame, judge: Broadcast) -> DataFrame:
-    """One row for each segment with a hopeful chain, and for each batch and source the number of its other segments."""
-
-    token = judge.value.token
+def scored_islands(islands: DataFrame, model: Broadcast) -> DataFrame:
+    """``island, hopeful, chains, ratios`` of the islands with a possible chain; hopeful: one of them is likelier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        j = resident(token, judge)
-        target = pa.schema([("source", pa.string()), ("segment", pa.string()), ("chains", pa.list_(pa.string())), ("ratios", pa.list_(pa.float64())), ("clean", pa.int64())])
         for b in batches:
-            rows, clean = [], {}
-            for source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                whole = j.unsuspicious(text)
-                n = count_borders(text) if whole else 0
-                for s in segments_of(text) if not whole else ():
-                    found = j.segment(islands_of(s)) if not s.isascii() else None
-                    if found:
-                        rows.append((source, s, [name_of(c) for c in found], [round(v, 1) for v in found.values()], None))
-                    else:
-                        n += 1
-                clean[source] = clean.get(source, 0) + n
-            rows += [(source, None, None, None, n) for source, n in clean.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)] if rows else [pa.array([], f.type) for f in target], schema=target)
-
-    return docs.select("source", "text").mapInArrow(run, EVIDENCE)
-
-
-def fit_prior(found: DataFrame, rounds: int, max_sources: int, start: float = 1e-4, strength: float = 20.0) -> dict[tuple[str, str], float]:
-    """Log prior odds of each chain for each source, by EM over the evidence.
+            for a in range(0, b.num_rows, 256):
+                texts = b.column(0).slice(a, 256).to_pylist()
+                rows = [(t, max(s.values()) > 0, [name_of(c) for c in s], list(s.values())) for t, s in zip(texts, score_islands(texts, model.value), strict=True) if s]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.float64())), strict=True)], names=["island", "hopeful", "chains", "ratios"])
+
+    return islands.select("island").mapInArrow(run, "island string, hopeful boolean, chains array<string>, ratios array<double>")
+
+
+def evidence(cut: DataFrame, scored: DataFrame) -> DataFrame:
+    """One row for each likely chain of each segment: the segment's islands, ``chain`` and ``ratio`` (log likelihood).
+
+    A segment's ratio is the sum of its islands'. Steps that undo sequence by sequence leave other islands as they are;
+    any other chain must be possible throughout. Only sums above 0 can win and are kept. Repeated rows count once."""
+    seg = cut.select(*ROW, "key", F.explode("segs").alias("s")).select(*ROW, "key", "s.no", "s.islands")
+    hopeful = scored.filter("hopeful").select("island")
+    suspect = seg.withColumn("island", F.explode(F.array_distinct("islands"))).join(hopeful, "island", "left_semi").dropDuplicates([*ROW, "no"]).drop("island")
+    each = suspect.withColumn("island", F.explode("islands")).join(scored.select("island", "chains", "ratios"), "island")
+    # only chains that are likelier in one of the islands can have a sum above 0
+    flat = each.select(*ROW, "key", "no", "islands", F.explode(F.arrays_zip("chains", "ratios")).alias("c"))
+    sums = flat.groupBy(*ROW, "key", "no", "islands", F.col("c.chains").alias("chain")).agg(F.sum("c.ratios").alias("held"), F.count("*").alias("many"))
+    gap = F.when(F.col("chain").rlike(r"^((utf_8<(" + "|".join(SINGLE) + r")|lost<utf_8)(\+|$))+$"), F.lit(0.0)).otherwise(F.lit(WORST))
+    total = F.round(F.col("held") + gap * (F.size("islands") - F.col("many")), 1)
+    best = F.max("ratio").over(Window.partitionBy(*ROW, "no"))
+    kept = sums.withColumn("ratio", total).filter("ratio > 0").withColumn("best", best)
+    return kept.filter(F.col("ratio") > F.col("best") - BEHIND).select(*ROW, "key", "no", "islands", "chain", "ratio")
+
+
+def weighed(found: DataFrame, odds: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """``found`` with ``share``, the posterior of each chain among those of the same ``by`` columns (what is missing to 1
+    is the share of "not garbled"), and ``ll``, their log weight against "not garbled". ``odds``: prior by key and chain."""
+    if odds is None:
+        p = found.withColumn("odds", F.lit(math.log(START)))
+    else:
+        p = found.join(odds, ["key", "chain"], "left").withColumn("odds", F.coalesce("odds", F.lit(math.log(START))))
+    return _softmax(p, F.col("ratio") + F.col("odds"), by)
+
+
+def _softmax(p: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*by)
+    p = p.withColumn("v", value).withColumn("top", F.greatest(F.lit(0.0), F.max("v").over(w)))
+    p = p.withColumn("total", F.exp(-F.col("top")) + F.sum(F.exp(F.col("v") - F.col("top"))).over(w))
+    return p.withColumns({"share": F.exp(F.col("v") - F.col("top")) / F.col("total"), "ll": F.col("top") + F.log("total")}).drop("v", "top", "total")
+
+
+def fit_prior(found: DataFrame, sizes: DataFrame, odds: DataFrame | None = None, tolerance: float = 5e-4, most: int = 200) -> tuple[DataFrame, float]:
+    """The prior (``key, chain, odds``: log odds) by EM over the evidence, until the log likelihood changes by less than
+    ``tolerance`` of itself; and the expected number of garbled segments. ``odds``: a prior to start from. Raises after ``most`` rounds (the likelihood
+    rises in each, so it settles far before).
 
     Segments with the same evidence are counted first, so a round costs little. A source's shares are smoothed towards
-    those of all sources with the weight of ``strength`` segments. Sources beyond the ``max_sources`` largest are pooled,
-    which bounds the table (chains are few) that the driver holds."""
-    seg = materialise(found.filter("segment is not null").groupBy("source", "chains", "ratios").agg(F.count("*").alias("n")), "kinds")
-    size = found.groupBy("source").agg(F.sum(F.coalesce("clean", F.lit(1))).alias("n")).orderBy(F.col("n").desc(), "source").limit(max_sources).collect()
-    n = {r["source"]: float(r["n"]) for r in size}
-    everything = sum(n.values()) or 1.0
-    odds: dict[tuple[str, str], float] = {}
-    spark = found.sparkSession
-    default = math.log(start)
-    for _ in range(rounds):
-        known = spark.sparkContext.broadcast((odds, set(n), default))
-
-        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            odds, names, default = known.value  # noqa: B023
-            for b in batches:
-                out: dict[tuple[str, str], float] = {}
-                for source, chains, ratios, many in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    source = source if source in names else ""
-                    for name, w in posterior(list(zip(chains, ratios, strict=True)), lambda c: odds.get((source, c), odds.get(("*", c), default))).items():  # noqa: B023
-                        out[source, name] = out.get((source, name), 0.0) + w * many
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.string()), pa.array([k[1] for k in out], pa.string()), pa.array(list(out.values()), pa.float64())], names=["source", "chain", "w"])
-
-        got = seg.mapInArrow(expect, "source string, chain string, w double").groupBy("source", "chain").agg(F.sum("w").alias("w")).collect()
-        overall: dict[str, float] = {}
-        for r in got:
-            overall[r["chain"]] = overall.get(r["chain"], 0.0) + r["w"]
-        overall = {c: (w + 0.05) / (everything + 50) for c, w in overall.items()}
-        odds = {("*", c): math.log(p) for c, p in overall.items()}
-        for r in got:
-            m = n.get(r["source"], everything)
-            odds[r["source"], r["chain"]] = math.log((r["w"] + strength * overall[r["chain"]]) / (m + strength))
-    return odds
-
-
-def posterior(candidates: list[tuple[str, float]], prior) -> dict[str, float]:
-    """Share of each chain; what is missing to 1 is the share of "not garbled"."""
-    logs = [(c, r + prior(c)) for c, r in candidates]
-    top = max([0.0, *(v for _, v in logs)])
-    weights = {c: math.exp(v - top) for c, v in logs}
-    total = math.exp(-top) + sum(weights.values())
-    return {c: w / total for c, w in weights.items()}
-
-
-def repaired_counts(found: DataFrame, odds: Broadcast) -> DataFrame:
-    """Expected change of the counts: stored form of garbled segments out, repaired form in."""
+    those of all sources with the weight of ``STRENGTH`` segments. Sources are rows of a table, as many as there are."""
+    each = found.groupBy(*ROW, "key", "no").agg(F.sort_array(F.collect_list(F.struct("chain", "ratio"))).alias("c"))
+    kinds = materialise(each.groupBy("key", "c").agg(F.count("*").alias("n")).withColumn("kind", F.monotonically_increasing_id()), "kinds")  # numbered once, when written
+    flat = kinds.select("kind", "key", "n", F.posexplode("c").alias("at", "e")).select("kind", "key", "n", "at", "e.chain", "e.ratio")
+    everything = float(sizes.agg(F.sum("n")).first()[0] or 1.0)
+    shares, last = None, None
+    for _ in range(most):
+        got = weighed(flat, odds, ["kind"]).groupBy("key", "chain").agg(F.sum(F.col("share") * F.col("n")).alias("w"), F.sum(F.when(F.col("at") == 0, F.col("ll") * F.col("n"))).alias("ll"))
+        before, shares = shares, materialise(got, "shares")
+        discard(before)
+        many, ll = (float(v or 0.0) for v in shares.agg(F.sum("w"), F.sum("ll")).first())
+        overall = shares.groupBy("chain").agg(((F.sum("w") + PSEUDO) / (everything + 50)).alias("p"))
+        odds = shares.join(overall, "chain").join(sizes, "key").select("key", "chain", F.log((F.col("w") + STRENGTH * F.col("p")) / (F.col("n") + STRENGTH)).alias("odds"))
+        if last is not None and abs(ll - last) <= tolerance * max(abs(ll), 1.0):
+            discard(kinds)
+            return odds, many
+        last = ll
+    raise RuntimeError(f"the prior did not settle in {most} rounds")
+
+
+def repaired_counts(found: DataFrame, odds: DataFrame) -> DataFrame:
+    """Expected change of the counts: stored islands of garbled segments out, repaired ones in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = odds.value
-        default = math.log(1e-4)
+        counts = Counts()
         for b in batches:
-            out: dict[int, float] = {}
-            for source, s, chains, ratios in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                share = posterior(list(zip(chains, ratios, strict=True)), lambda c: table.get((source, c), table.get(("*", c), default)))  # noqa: B023
-                for name, w in share.items():
-                    if w < 0.01:
-                        continue
-                    for text, sign in ((s, -w), (repair_segment(s, chain_of(name)), w)):
-                        cp = np.array([ord(c) for c in text], np.int64)
-                        keys, n = _count_keys(cp, np.zeros(len(cp), bool))
-                        for k, v in zip(keys.tolist(), n.tolist(), strict=True):
-                            out[k] = out.get(k, 0.0) + sign * v
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.float64())], names=["k", "n"])
+            for island, name, w in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                counts.add(code_points(island), None, -w)
+                counts.add(code_points(repair_segment(island, chain_of(name))), None, w)
+        yield from counts.rows()
+
+    moved = weighed(found, odds, [*ROW, "no"]).withColumn("island", F.explode("islands")).groupBy("island", "chain").agg(F.sum("share").alias("w"))
+    return moved.mapInArrow(run, "k long, n double")
 
-    return found.filter("segment is not null").select("source", "segment", "chains", "ratios").mapInArrow(run, "k long, n double")
 
+def decide(found: DataFrame, odds: DataFrame) -> DataFrame:
+    """``doc_id, field, mark, picks`` (segment number and chain) of the garbled texts, from the evidence alone."""
+    seg, row = [*ROW, "no"], found.repartition(*ROW).drop("islands")
+    first = weighed(row, odds, seg).withColumn("sure", F.max("share").over(Window.partitionBy(*ROW, "chain")))
+    local = F.greatest(F.col("odds"), F.when(F.col("sure") > 0.9, F.lit(math.log(0.5))).otherwise(F.lit(-1e9)))
+    again = _softmax(first.drop("share", "ll"), F.col("ratio") + local, seg)
+    best = again.groupBy(*seg).agg(F.sum("share").alias("garbled"), F.max(F.struct("share", "chain")).alias("best")).filter("garbled > 0.5")
+    return best.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("no", F.col("best.chain").alias("chain")))).alias("picks"))
 
-def decide(docs: DataFrame, judge: Broadcast, odds: Broadcast) -> DataFrame:
-    """``doc_id, chains, repaired, complete`` of the garbled texts."""
 
-    token = judge.value.token
+def repair(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The judged texts, repaired."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        j, table, default = resident(token, judge), odds.value, math.log(1e-4)
         for b in batches:
-            rows = []
-            for doc, source, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if j.unsuspicious(text):
-                    continue
+            used, fixed = [], []
+            for text, picks in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 parts = segments_of(text)
-                found = {k: j.segment(islands_of(s)) for k, s in enumerate(parts) if not s.isascii()}
-                found = {k: {name_of(c): r for c, r in v.items()} for k, v in found.items() if v}
-                if not found:
-                    continue
-                prior = lambda c: table.get((source, c), table.get(("*", c), default))  # noqa: B023, E731
-                sure: dict[str, float] = {}
-                for v in found.values():
-                    for c, w in posterior(list(v.items()), prior).items():
-                        sure[c] = max(sure.get(c, 0.0), w)
-                local = lambda c: max(prior(c), math.log(0.5) if sure.get(c, 0.0) > 0.9 else -1e9)  # noqa: B023, E731
-                used = []
-                for k, v in found.items():
-                    share = posterior(list(v.items()), local)
-                    if sum(share.values()) > 0.5:
-                        best = max(share.items(), key=lambda x: (x[1], x[0]))[0]
-                        parts[k] = repair_segment(parts[k], chain_of(best))
-                        if best not in used:
-                            used.append(best)
-                if used:
-                    fixed = "".join(parts)
-                    rows.append((doc, used, fixed, LOST not in fixed))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.bool_())], names=["doc_id", "chains", "repaired", "complete"])
-
-    return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, chains array<string>, repaired string, complete boolean")
-
-
-def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", model_rounds: int = 2, prior_rounds: int = 3, max_entries: int = 500_000, max_sources: int = 256) -> DataFrame:
-    """Texts that were read with another encoding than they were written in, and what was written.
-
-    ``doc_id``, ``chains`` (names ``written<read`` of the steps undone, last reading first), ``repaired``, and
-    ``complete`` (false where characters are lost, which stay U+FFFD). Null, empty and ASCII texts are never garbled.
-    Null and uneven sources are normalised and pooled. Whole texts are judged, however long. Repeated rows come out as
-    often as they come in. The counts cover all texts; what is gathered is bounded by ``max_entries`` and
-    ``max_sources``."""
-    spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), normal_source(F.col(source_col)).alias("source"), F.col(text_col).alias("text")).filter("text is not null and text <> ''")
-    docs = spread(docs)
+                for p in picks:
+                    parts[p["no"]] = repair_segment(parts[p["no"]], chain_of(p["chain"]))
+                used.append(list(dict.fromkeys(p["chain"] for p in picks)))
+                fixed.append("".join(parts))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(used, pa.list_(pa.string())), pa.array(fixed, pa.string()), pa.array([LOST not in f for f in fixed], pa.bool_())], names=["doc_id", "field", "chains", "repaired", "complete"])
+
+    return docs.join(judged, ROW).select("doc_id", "field", "text", "picks").mapInArrow(run, "doc_id long, field string, chains array<string>, repaired string, complete boolean")
+
+
+def _texts(df: DataFrame, id_col: str, text_cols: Sequence[str], source_col: str) -> DataFrame:
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in text_cols])).alias("t")
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), normal_source(F.col(source_col)).alias("source"), each).select("doc_id", "source", "t.field", "t.text")
+    rows = rows.filter("doc_id is not null and text is not null and text <> ''")
+    return spread(rows).select("doc_id", "field", F.xxhash64("text").alias("mark"), F.concat_ws("\u0001", "field", "source").alias("key"), "text")
+
+
+def judge_texts(df: DataFrame, id_col: str = "doc_id", text_cols: Sequence[str] = ("text",), source_col: str = "source", settled: float = 0.01, most: int = 20) -> DataFrame:
+    """Which texts were read with another encoding than they were written in: ``doc_id``, ``field``, ``mark`` (hash of the
+    text) and ``picks``, the chain of each garbled segment.
+
+    Null, empty and ASCII texts are never garbled; rows without id take no part. Null and uneven sources are normalised.
+    Whole texts are judged, however long. Rows that repeat id and text count once. The model is refitted until the
+    expected number of garbled segments changes by less than ``settled`` of itself, in at most ``most`` rounds."""
+    spark: SparkSession = df.sparkSession
+    docs = _texts(df, id_col, text_cols, source_col)
+    cut = materialise(cut_texts(docs), "cut")
     counts = materialise(count_pairs(docs, "text"), "pairs")
-    judge = spark.sparkContext.broadcast(Judge(fit_model(counts, max_entries)))
-    for k in range(model_rounds):
-        found = materialise(evidence(docs, judge), "evidence")
-        odds = spark.sparkContext.broadcast(fit_prior(found, prior_rounds, max_sources))
-        if k + 1 < model_rounds:
-            moved = counts.unionByName(repaired_counts(found, odds)).groupBy("k").agg(F.sum("n").alias("n"))
-            judge = spark.sparkContext.broadcast(Judge(fit_model(moved, max_entries)))
-    return decide(docs, judge, odds)
+    islands = materialise(spread(cut.select(F.explode(F.flatten("segs.islands")).alias("island")).distinct()), "islands")
+    sizes = materialise(cut.groupBy("key").agg(F.sum("n").alias("n")), "sizes")
+    now, before, found, scored, odds = counts, None, None, None, None
+    for _ in range(most):
+        model = spark.sparkContext.broadcast(fit_model(now))
+        discard(scored)
+        discard(found)
+        scored = materialise(scored_islands(islands, model), "scored")
+        found = materialise(evidence(cut, scored), "evidence")
+        odds, many = fit_prior(found, sizes, odds)
+        if before is not None and abs(many - before) <= settled * max(many, 1.0):
+            break
+        before = many
+        now = counts.unionByName(repaired_counts(found, odds)).groupBy("k").agg(F.sum("n").alias("n"))
+    return decide(found, odds)
+
+
+def find_garbled(df: DataFrame, id_col: str = "doc_id", text_cols: Sequence[str] = ("text",), source_col: str = "source") -> DataFrame:
+    """The texts that ``judge_texts`` finds, and what was written.
+
+    ``doc_id``, ``field``, ``chains`` (names ``written<read`` of the steps undone, last reading first), ``repaired``, and
+    ``complete`` (false where characters are lost, which stay U+FFFD). Repeated rows come out as often as they come in."""
+    return repair(_texts(df, id_col, text_cols, source_col), judge_texts(df, id_col, text_cols, source_col))

@@ -68,11 +68,11 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each garbled document with its chains and the text as it was written, as far as it can be had."""
-    return mojibake.find_garbled(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mojibake.find_garbled(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("field")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p8_repaired(spark, sf_dir).select("doc_id")
+    return mojibake.judge_texts(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id")
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_quantiles, p5_sketches, p6_ids, p7_selection, p7_shares, p8_found, p8_repaired)}

@@ -65,17 +65,48 @@ def test_found_and_repaired(spark):
     assert m.find_garbled(df.limit(0)).count() == 0
 
 
-def test_prior_is_pooled_by_source():
-    cand = [("x", 2.0)]
-    assert m.posterior(cand, lambda c: 0.0)["x"] > 0.8 > 0.5 > m.posterior(cand, lambda c: -6.0)["x"]
-    assert m.posterior([], lambda c: 0.0) == {}
+def test_posterior_follows_the_prior(spark):
+    df = spark.createDataFrame([("k", "x", 2.0, 1), ("k", "x", 900.0, 2), ("k", "y", 1.0, 2)], "key string, chain string, ratio double, seg int")
+    share = lambda odds: {(r.seg, r.chain): r.share for r in m.weighed(df, spark.createDataFrame([("k", "x", odds)], "key string, chain string, odds double"), ["seg"]).collect()}
+    high, low = share(0.0), share(-6.0)
+    assert high[1, "x"] > 0.8 > 0.5 > low[1, "x"] and low[2, "x"] > 0.999 > 0.01 > low[2, "y"]
 
 
 def test_uncut_texts_count_their_segments(spark):
-    import numpy as np
-
     texts = ["One. Two! Three? Four", "One.\nTwo.\r\n\nThree. ", "Für die Schicht. Noch größer.", "\n\n", "x"]
     assert [m.count_borders(t) for t in texts] == [len(m.segments_of(t)) for t in texts]
-    judge = spark.sparkContext.broadcast(m.Judge(m.Bigrams(np.array([], np.int64), np.array([]), 0.0)))
-    docs = spark.createDataFrame([("a", texts[0]), ("b", texts[1])], "source string, text string")
-    assert {r.source: r.clean for r in m.evidence(docs, judge).collect() if r.clean} == {"a": 4, "b": len(m.segments_of(texts[1]))}
+    docs = m._texts(spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string"), "doc_id", ["text"], "source")
+    rows = {r.doc_id: r for r in m.cut_texts(docs).collect()}
+    assert [rows[i].n for i in range(5)] == [len(m.segments_of(t)) for t in texts]
+    assert [s.islands for s in rows[2].segs] == [m.islands_of(s) for s in m.segments_of(texts[2])]
+
+
+def test_texts_garbled_four_times_are_restored(spark):
+    r, clean = corpus()
+    read = lambda s: "".join(m.READ["cp1252"][b] for b in s.encode())
+    rows = [(i, t, "a", None) for i, t in enumerate(clean)]
+    deep = {i: clean[i] for i in range(0, 60, 6)}
+    for i, t in deep.items():
+        rows[i] = (i, "clean", "a", read(read(read(read(t)))))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, note string")
+    got = {(x.doc_id, x.field): x.repaired for x in m.find_garbled(df, text_cols=["text", "note"]).collect()}
+    assert got == {(i, "note"): t for i, t in deep.items() if read(t) != t}
+
+
+def test_many_sources_keep_their_own_prior(spark):
+    rows = [(k, "text", 0, f"text|s{k}", 0, "utf_8<cp1252", 9.0 if k == 7 else 2.0) for k in range(600)] + [(1000 + k, "text", 0, "text|", 0, "utf_8<cp1252", 12.0) for k in range(40)]
+    found = spark.createDataFrame(rows, "doc_id long, field string, mark long, key string, no int, chain string, ratio double")
+    sizes = found.groupBy("key").count().selectExpr("key", "count * 50 as n")
+    odds, many = m.fit_prior(found, sizes)
+    own = {r.key: r.odds for r in odds.collect()}
+    assert len(own) == 601 and many > 0
+    assert own["text|"] > own["text|s7"] > own["text|s8"]
+
+
+def test_all_counts_are_kept():
+    c = m.Counts()
+    c.add(m.code_points("abab\ufffdb"))
+    c.add(m.code_points("ab"), None, -1.0)
+    k, n = zip(*[(k, n) for b in c.rows() for k, n in zip(*(x.to_pylist() for x in b.columns), strict=True)], strict=True)
+    got = dict(zip(k, n, strict=True))
+    assert got[-1 - ord("a")] == 1 and got[-1 - ord("b")] == 2 and sum(v for k, v in got.items() if k >= 0) == 2 * m.PAIR_ROWS
