@@ -1,25 +1,27 @@
 """Mixing sources to target weights (problem 7), by raking.
 
 Token totals of the cells (source x language x topic) are raked by iterative proportional fitting: cell weights are
-scaled in turn to the source, language and topic marginals until they agree, never above a source's cap on repeats. The
-weight of a cell is the calibrated number of times each of its documents is to be used: the whole part for certain, the
-fraction as a probability. Sampling is by ordered hashes (sequential Poisson): within a source the documents with the
+scaled in turn to the language, topic and source marginals until they stand still, never above a source's cap on repeats.
+The weight of a cell is the calibrated number of times each of its documents is to be used: the whole part for certain,
+the fraction as a probability. Sampling is by ordered hashes (sequential Poisson): within a source the documents with the
 smallest ``uniform / fraction`` are used once more, up to the cutoff at which the source has its tokens. The cutoffs come
-from histograms refined twice, so no group is ever gathered or sorted in one place.
+from two histograms, the second within the bin where the first one crosses, so no group is gathered or sorted in one place.
+
+Everything is a table: cells, marginals, cutoffs. Each scaling is one grouped sum over the cells, so there may be any
+number of sources, languages and topics.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litholake.session import materialise
+from litholake.session import discard, materialise
 
-OTHER = "other"
+#: Bins of either histogram: cutoffs are exact to 2^-32 of the range.
+BINS = 1 << 16
 
 
 def normal_name(c: Column) -> Column:
@@ -27,53 +29,50 @@ def normal_name(c: Column) -> Column:
     return F.translate(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")), "-", "_")
 
 
-def pooled(df: DataFrame, col: str, weight: str, keep: int) -> DataFrame:
-    """``col`` with all but its ``keep`` heaviest values pooled; this bounds the number of cells, not the documents."""
-    top = df.groupBy(col).agg(F.sum(weight).alias("w")).orderBy(F.col("w").desc(), col).limit(keep).collect()
-    return df.withColumn(col, F.when(F.col(col).isin([r[col] for r in top]), F.col(col)).otherwise(F.lit(OTHER)))
-
-
-def rake(cells: pd.DataFrame, shares: dict[str, float], caps: dict[str, float], total: float, rounds: int = 200, tol: float = 1e-9) -> np.ndarray:
-    """Weights of the cells (columns source, lang, topic, tokens), by bounded iterative proportional fitting.
-
-    Language and topic marginals are those of the eligible tokens. The source marginal is met exactly at the end (it is
-    feasible whenever ``total * share <= cap * tokens`` for every source); the other two as nearly as the caps allow."""
-    tok = cells["tokens"].to_numpy(float)
-    src, cap = cells["source"].to_numpy(), cells["source"].map(caps).to_numpy(float)
-    w = np.ones(len(cells))
-    margins = [(cells[c].to_numpy(), None) for c in ("lang", "topic")]
-    margins = [(key, {k: total * tok[key == k].sum() / tok.sum() for k in np.unique(key)}) for key, _ in margins]
-
-    def fit_sources() -> None:
-        for s, share in shares.items():
-            at = np.flatnonzero(src == s)
-            if not len(at):
-                continue
-            for _ in range(60):  # what the cap cuts off is given to the source's other cells
-                free = at[w[at] < cap[at]]
-                full = at[w[at] >= cap[at]]
-                need, have = total * share - (w[full] * tok[full]).sum(), (w[free] * tok[free]).sum()
-                if have <= 0:
-                    break
-                w[free] *= max(need, 0.0) / have
-                if (w[free] <= cap[free] * (1 + 1e-12)).all():
-                    break
-                w[at] = np.minimum(w[at], cap[at])
-            w[at] = np.minimum(w[at], cap[at])
-
-    for _ in range(rounds):
-        before = w.copy()
-        for key, want in margins:
-            for k, target in want.items():
-                at = key == k
-                have = (w[at] * tok[at]).sum()
-                if have > 0:
-                    w[at] *= target / have
-            np.minimum(w, cap, out=w)
-        fit_sources()
-        if np.abs(w - before).max(initial=0.0) < tol:
+def _marginal(targets: DataFrame | None, name: str) -> DataFrame | None:
+    """``name`` and its share ``want`` of all tokens; shares are scaled to 1, unusable ones dropped."""
+    if targets is None:
+        return None
+    t = targets.select(normal_name(F.col(name)).alias(name), F.col("target_share").cast("double").alias("want")).filter("want > 0").groupBy(name).agg(F.max("want").alias("want"))
+    return t.withColumn("want", F.col("want") / F.sum("want").over(Window.partitionBy(F.lit(0))))  # a hand-written table
+
+
+def rake(cells: DataFrame, per_job: int = 4, tolerance: float = 1e-6, most: int = 60) -> DataFrame:
+    """``cells`` with ``weight``, by bounded iterative proportional fitting.
+
+    Columns: ``source, lang, topic, tokens``; ``cap`` of the source; ``want_source``, ``want_lang``, ``want_topic``, the
+    tokens that the source, language and topic of the cell are to have in all (null: as it comes). The source marginal is
+    fitted last and met where the caps allow it, the other two as nearly as these allow. Ends when no weight moves by more
+    than ``tolerance`` in a round, or after ``most`` rounds: where the marginals contradict each other or the caps there is
+    no fixed point, and the source marginal, fitted last, holds. ``per_job`` rounds are one plan; then the cells are
+    written, so plans don't grow."""
+    now = cells.withColumn("weight", F.least(F.lit(1.0), F.col("cap")))
+    held = None
+    for _ in range(0, most, per_job):
+        step = now
+        for k in range(per_job):
+            if k == per_job - 1:
+                step = step.withColumn("before", F.col("weight"))
+            for name in ("lang", "topic", "source", "source"):  # what a cap cuts off is given to the source's other cells
+                of = Window.partitionBy(name)
+                mine = F.col("weight") * F.col("tokens")
+                full = F.col("weight") >= F.col("cap")
+                need = F.col(f"want_{name}") - F.coalesce(F.sum(F.when(full, mine)).over(of), F.lit(0.0))
+                have = F.sum(F.when(~full, mine)).over(of)
+                factor = F.when(F.col(f"want_{name}").isNull() | (F.coalesce(have, F.lit(0.0)) <= 0), F.lit(1.0)).otherwise(F.greatest(need, F.lit(0.0)) / have)
+                if name != "source":  # a language or topic above its share is lowered as a whole
+                    every = F.sum(mine).over(of)
+                    factor = F.when(F.col(f"want_{name}").isNull() | (every <= 0), F.lit(1.0)).otherwise(F.col(f"want_{name}") / every)
+                    step = step.withColumn("weight", F.least(F.col("weight") * factor, F.col("cap")))
+                else:
+                    step = step.withColumn("weight", F.when(full, F.col("weight")).otherwise(F.least(F.col("weight") * factor, F.col("cap"))))
+        gone, held = held, materialise(step, "raked")
+        discard(gone)
+        now = held.drop("before")
+        moved = held.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0] or 0.0
+        if moved <= tolerance:
             break
-    return w
+    return now
 
 
 @dataclass
@@ -84,76 +83,67 @@ class Mix:
     shares: DataFrame
 
 
-def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", total: float | None = None, max_langs: int = 32, max_topics: int = 64, bins: int = 1024, refinements: int = 3, seed: int = 7) -> Mix:
+def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", total: float | None = None, lang_targets: DataFrame | None = None, topic_targets: DataFrame | None = None, seed: int = 7) -> Mix:
     """Documents (``id_col, source, lang, topic, tokens``) drawn so that each source of ``targets`` (``source,
     target_share, max_repeats``) has its share of all tokens, none being used more often than its source's
     ``max_repeats``.
 
-    ``total`` defaults to the most tokens that the caps allow. Names of sources are compared by ``normal_name``; a target
-    that is listed twice counts once, one with a null or non-positive share or cap not at all. A listed source without
-    tokens can't have its share: the others keep their proportions, and it is reported with 0. Documents of no listed
-    source, without tokens or without id take no part. Ids must be unique. Given the same rows and seed the choice is the
-    same, whatever the partitioning. The driver holds the cells (sources x at most 33 x 65) and the histograms
-    (sources x ``bins``), never documents."""
-    spark = docs.sparkSession
+    ``lang_targets`` (``lang, target_share``) and ``topic_targets`` (``topic, target_share``) give the shares wished for
+    languages and topics, as far as sources and caps allow; without them they keep those of the eligible tokens, and what
+    they don't list is left as it comes. ``total`` defaults to the most tokens that the caps allow. Names are compared by
+    ``normal_name``; a target that is listed twice counts once, one with a null or non-positive share or cap not at all. A
+    listed source without tokens can't have its share: the others keep their proportions, and it is reported with 0.
+    Documents of no listed source, without tokens or without id take no part. Ids must be unique. Given the same rows and
+    seed the choice is the same, whatever the partitioning."""
     t = targets.select(normal_name(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).filter("target_share > 0 and max_repeats > 0").dropDuplicates(["source"])
-    listed = t.toPandas()  # one row per listed source, a hand-written table
-    eligible = docs.withColumn("source", normal_name(F.col("source"))).filter(F.col("source").isin(listed["source"].tolist()) & (F.col("tokens") > 0) & F.col(id_col).isNotNull())
-    eligible = materialise(eligible.select(id_col, "source", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("topic", F.lit("")).alias("topic"), "tokens"), "eligible")
-    named = pooled(pooled(eligible, "lang", "tokens", max_langs), "topic", "tokens", max_topics)
-    cells = named.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")).orderBy("source", "lang", "topic").toPandas()
-    have = cells.groupby("source")["tokens"].sum().to_dict()
-    caps = dict(zip(listed["source"], listed["max_repeats"].astype(float), strict=True))
-    weight = {s: v for s, v in zip(listed["source"], listed["target_share"], strict=True) if have.get(s, 0) > 0}
-    shares = {s: v / sum(weight.values()) for s, v in weight.items()}
-    most = min((caps[s] * have[s] / v for s, v in shares.items()), default=0.0)
-    total = most if total is None else min(total, most)
-    cells["weight"] = rake(cells, shares, caps, total) if len(cells) else np.zeros(0)
-    planned = spark.createDataFrame(cells[["source", "lang", "topic", "weight"]].astype({"weight": float}), "source string, lang string, topic string, weight double")
+    clean = docs.filter((F.col("tokens") > 0) & F.col(id_col).isNotNull()).select(F.col(id_col), normal_name(F.col("source")).alias("source"), normal_name(F.col("lang")).alias("lang"), normal_name(F.col("topic")).alias("topic"), F.col("tokens").cast("long").alias("tokens"))
+    eligible = materialise(clean.join(t.select("source"), "source", "left_semi"), "eligible")
+    sums = materialise(eligible.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "cells")
+    have = sums.groupBy("source").agg(F.sum("tokens").alias("source_tokens"))
+    served = t.join(have, "source")
+    one = Window.partitionBy(F.lit(0))  # one row per listed source
+    wanted = materialise(served.withColumn("share", F.col("target_share") / F.sum("target_share").over(one)).withColumn("most", F.min(F.col("max_repeats") * F.col("source_tokens") / F.col("share")).over(one)), "wanted")
+    most = (wanted.agg(F.first("most")).first()[0]) or 0.0
+    total = most if total is None else min(float(total), most)
+    cells = sums.join(wanted.select("source", F.col("max_repeats").cast("double").alias("cap"), (F.lit(total) * F.col("share")).alias("want_source")), "source")
+    everything = wanted.agg(F.sum("source_tokens")).first()[0] or 1
+    for name, given in (("lang", _marginal(lang_targets, "lang")), ("topic", _marginal(topic_targets, "topic"))):
+        if given is None:
+            given = sums.groupBy(name).agg((F.sum("tokens") / F.lit(float(everything))).alias("want"))
+        cells = cells.join(given.select(name, (F.lit(total) * F.col("want")).alias(f"want_{name}")), name, "left")
+    planned = rake(cells).select("source", "lang", "topic", "weight")
     uniform = (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    d = named.join(planned, ["source", "lang", "topic"])
+    d = eligible.join(planned, ["source", "lang", "topic"])
     d = d.withColumn("sure", F.floor(F.col("weight") + 1e-9)).withColumn("part", F.greatest(F.col("weight") - F.col("sure"), F.lit(0.0)))
     d = d.withColumn("turn", F.when(F.col("part") > 1e-9, uniform / F.col("part")))
-    d = materialise(d.withColumn("turn", F.col("turn") / (F.col("turn") + 1)).drop("part"), "turns")
-    sure = {r["source"]: float(r["n"] or 0) for r in d.groupBy("source").agg(F.sum(F.col("sure") * F.col("tokens")).alias("n")).collect()}
-    cut = _cutoffs(d, {s: total * v - sure.get(s, 0.0) for s, v in shares.items()}, bins, refinements)
-    limit = F.lit(-1.0)
-    for s, c in cut.items():
-        limit = F.when(F.col("source") == s, F.lit(c)).otherwise(limit)
-    chosen = d.withColumn("repeats", (F.col("sure") + F.coalesce((F.col("turn") < limit).cast("int"), F.lit(0))).cast("int")).filter("repeats > 0")
+    d = materialise(d.withColumn("turn", F.col("turn") / (F.col("turn") + 1)).drop("part", "weight"), "turns")
+    cut = _cutoffs(d, wanted.select("source", (F.lit(total) * F.col("share")).alias("need")))
+    chosen = d.join(cut, "source", "left").withColumn("repeats", (F.col("sure") + F.coalesce((F.col("turn") < F.col("cutoff")).cast("int"), F.lit(0))).cast("int")).filter("repeats > 0")
     selection = chosen.select(id_col, "source", "lang", "topic", "tokens", "repeats")
     used = selection.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("used_tokens"), F.count("*").alias("documents"), F.max("repeats").alias("most_repeats"))
-    wanted = spark.createDataFrame([(r.source, float(r.target_share), int(r.max_repeats), float(shares.get(r.source, 0.0)), int(have.get(r.source, 0))) for r in listed.itertuples()], "source string, target_share double, max_repeats int, reachable_share double, source_tokens long")
-    everything = selection.agg(F.sum(F.col("tokens") * F.col("repeats")).alias("all_tokens"))
-    report = wanted.join(used, "source", "left").join(F.broadcast(everything))  # one row
-    report = report.select("source", "target_share", "reachable_share", F.coalesce(F.col("used_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"), F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), "source_tokens", F.coalesce("documents", F.lit(0)).alias("documents"), "max_repeats", F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"))
+    report = t.join(wanted.select("source", "share", "source_tokens"), "source", "left").join(used, "source", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    report = report.select("source", "target_share", F.coalesce("share", F.lit(0.0)).alias("reachable_share"), F.coalesce(F.col("used_tokens") / F.sum("used_tokens").over(one), F.lit(0.0)).alias("actual_share"), zero(F.col("used_tokens")).alias("used_tokens"), zero(F.col("source_tokens")).alias("source_tokens"), zero(F.col("documents")).alias("documents"), "max_repeats", zero(F.col("most_repeats")).alias("most_repeats"))
     return Mix(selection, report)
 
 
-def _cutoffs(d: DataFrame, need: dict[str, float], bins: int, refinements: int) -> dict[str, float]:
-    """For each source the value of ``turn`` below which the documents' tokens come nearest to what is needed."""
-    low, width, left = {s: 0.0 for s in need}, 1.0, dict(need)
-    for last in [False] * (refinements - 1) + [True]:
-        width /= bins
-        base = F.lit(2.0)
-        for s, v in low.items():
-            base = F.when(F.col("source") == s, F.lit(v)).otherwise(base)
-        step = F.floor((F.col("turn") - base) / width)
-        rows = d.filter("turn is not null").withColumn("bin", step).filter((F.col("bin") >= 0) & (F.col("bin") < bins)).groupBy("source", "bin").agg(F.sum("tokens").alias("n")).collect()
-        hist: dict[str, np.ndarray] = {s: np.zeros(bins) for s in need}
-        for r in rows:
-            if r["source"] in hist:
-                hist[r["source"]][r["bin"]] += r["n"]
-        for s in need:
-            upto = np.cumsum(hist[s])
-            k = int(np.searchsorted(upto, left[s], "right"))
-            if k >= bins:  # all of them are needed
-                low[s] += width * bins
-                left[s] -= upto[-1] if bins else 0
-                continue
-            under = upto[k - 1] if k else 0.0
-            if last and upto[k] - left[s] < left[s] - under:
-                k, under = k + 1, upto[k]
-            low[s] += k * width
-            left[s] -= under
-    return low
+def _cutoffs(d: DataFrame, need: DataFrame) -> DataFrame:
+    """``source, cutoff``: the value of ``turn`` below which the documents' tokens come nearest to what is still needed."""
+    upto = Window.partitionBy("source").orderBy("bin")  # at most BINS rows of a histogram
+
+    def crossing(hist: DataFrame, left: DataFrame) -> DataFrame:
+        """The first bin of each source whose running sum exceeds what is needed, and what is needed within it."""
+        run = hist.join(left, "source").withColumn("under", F.sum("n").over(upto) - F.col("n"))
+        hit = run.filter((F.col("under") <= F.col("left")) & (F.col("under") + F.col("n") > F.col("left")))
+        return hit.select("source", "bin", "n", (F.col("left") - F.col("under")).alias("left"))
+
+    sure = d.groupBy("source").agg(F.sum(F.col("sure") * F.col("tokens")).alias("sure"))
+    left = need.join(sure, "source", "left").select("source", (F.col("need") - F.coalesce("sure", F.lit(0))).alias("left"))
+    rows = d.filter("turn is not null").select("source", "turn", "tokens").withColumn("bin", F.floor(F.col("turn") * BINS))
+    first = materialise(crossing(rows.groupBy("source", "bin").agg(F.sum("tokens").alias("n")), left), "crossing")
+    inner = rows.join(first.select("source", "bin"), ["source", "bin"]).select("source", F.floor((F.col("turn") * BINS - F.col("bin")) * BINS).alias("fine"), "tokens")
+    second = crossing(inner.groupBy("source", F.col("fine").alias("bin")).agg(F.sum("tokens").alias("n")), first.select("source", "left"))
+    take = F.when(F.col("n") - F.col("left") < F.col("left"), F.lit(1)).otherwise(F.lit(0))  # the nearer side
+    exact = first.select("source", F.col("bin").alias("at")).join(second, "source").select("source", ((F.col("at") + (F.col("bin") + take) / F.lit(float(BINS))) / F.lit(float(BINS))).alias("at"))
+    # a source without a crossing needs all its documents (2 lies beyond every turn), one that needs none has none
+    return left.join(exact, "source", "left").select("source", F.when(F.col("left") <= 0, F.lit(0.0)).otherwise(F.coalesce("at", F.lit(2.0))).alias("cutoff"))
