@@ -15,9 +15,10 @@ of jobs does not grow with the number of masks.
 =============  =====================================================================================================
 
 Targets may have a life span ``[valid_from, valid_to)``; a reference made at ``at`` is served only by a life that
-covers it. Two properties keep one hot key from exploding: lives are pre-aggregated before the shuffle (an endless life
-needs only its earliest start, so that side has one row per key), and ended lives are cut into time slices, which makes
-the slice part of the join key.
+covers it. Hot keys don't explode: lives are pre-aggregated before the shuffle (lives without an end need only the earliest
+start, lives without a start only the latest end, one row per key each), and lives with both are put on the time grid
+whose step is just as long as the life, a power of two, so a life of any length lies in at most two slices, and the slice
+is part of the join key. A reference that is still open looks once into each grid in use, of which there are at most 32.
 """
 
 from __future__ import annotations
@@ -55,17 +56,45 @@ def orphan_references(
     at: str | None = None,
     valid_from: str | None = None,
     valid_to: str | None = None,
-    slice_days: int = 7,
+    step_seconds: int = 86400,
 ) -> DataFrame:
     """The rows of ``refs`` that no row of ``targets`` serves; columns and repeated rows of ``refs`` stay.
 
     Nulls: see ``match``; a null ``at`` lies in no life and is reported; a null ``valid_from`` means "since ever", a null
     ``valid_to`` "for ever". Empty ``targets`` make every reference an orphan, empty ``refs`` give no row. Other columns
     of ``targets`` are dropped before the join, so equal names can't clash; names beginning with ``__lit_`` are reserved.
+    ``step_seconds`` is the finest time grid.
     """
     if match not in MATCHES:
         raise ValueError(f"match must be one of {MATCHES}")
-    keys = list(keys)
+    r, t = _sides(refs, targets, list(keys), match, valid_from, valid_to)
+    same = (F.col("__lit_mask") == F.col("__lit_tmask")) & (F.col("__lit_key") == F.col("__lit_tkey"))
+    drop = ["__lit_mask", "__lit_key"]
+    if valid_from is None and valid_to is None:
+        return r.join(t.select("__lit_tmask", "__lit_tkey").distinct(), same, "left_anti").drop(*drop)
+    moment, key = F.col(at), ["__lit_tmask", "__lit_tkey"]
+    always = t.filter("__lit_from is null and __lit_to is null").select(*key).distinct()
+    endless = t.filter("__lit_from is not null and __lit_to is null").groupBy(*key).agg(F.min("__lit_from").alias("__lit_from"))
+    since_ever = t.filter("__lit_from is null and __lit_to is not null").groupBy(*key).agg(F.max("__lit_to").alias("__lit_to"))
+    left = r.join(endless, same & (F.col("__lit_from") <= moment), "left_anti")
+    left = left.join(always, same & moment.isNotNull(), "left_anti").join(since_ever, same & (F.col("__lit_to") > moment), "left_anti")
+    ended = t.filter("__lit_from < __lit_to").groupBy(*key, "__lit_to").agg(F.min("__lit_from").alias("__lit_from"))
+    length = F.greatest(F.unix_seconds("__lit_to") - F.unix_seconds("__lit_from"), F.lit(1)) / F.lit(float(step_seconds))
+    ended = ended.withColumn("__lit_tgrid", F.greatest(F.ceil(F.log2(length)), F.lit(0)).cast("int"))
+    grids = [g["__lit_tgrid"] for g in ended.select("__lit_tgrid").distinct().collect()]  # at most 32 powers of two
+    if not grids:
+        return left.drop(*drop)
+    slice_of = lambda c, grid: F.floor(F.unix_seconds(c) / (F.lit(float(step_seconds)) * F.pow(F.lit(2.0), grid)))
+    ended = ended.withColumn("__lit_tslice", F.explode(F.sequence(slice_of(F.col("__lit_from"), F.col("__lit_tgrid")), slice_of(F.col("__lit_to"), F.col("__lit_tgrid")))))
+    looks = F.array(*[F.lit(g) for g in sorted(grids)])
+    open_ = left.select(*drop, moment.alias("__lit_at")).distinct().withColumn("__lit_grid", F.explode(looks)).withColumn("__lit_slice", slice_of(F.col("__lit_at"), F.col("__lit_grid")))
+    inside = same & (F.col("__lit_grid") == F.col("__lit_tgrid")) & (F.col("__lit_slice") == F.col("__lit_tslice")) & (F.col("__lit_from") <= F.col("__lit_at")) & (F.col("__lit_to") > F.col("__lit_at"))
+    served = open_.join(ended, inside, "left_semi").select(F.col("__lit_mask").alias("__lit_tmask"), F.col("__lit_key").alias("__lit_tkey"), "__lit_at").distinct()
+    return left.join(served, same & (moment == F.col("__lit_at")), "left_anti").drop(*drop)
+
+
+def _sides(refs: DataFrame, targets: DataFrame, keys: list[str], match: str, valid_from: str | None, valid_to: str | None) -> tuple[DataFrame, DataFrame]:
+    """References and targets with mask and packed key, by the rules of ``match``."""
     every = (1 << len(keys)) - 1
     r = refs.withColumn("__lit_mask", null_mask(keys))
     if match == "simple":
@@ -83,26 +112,22 @@ def orphan_references(
         if match != "identical":
             t = t.filter("__lit_tmask = 0")
         t = t.select("__lit_tmask", _pack(keys).alias("__lit_tkey"), "__lit_from", "__lit_to")
-    r = r.withColumn("__lit_key", _pack(keys))
+    return r.withColumn("__lit_key", _pack(keys)), t
+
+
+def why_orphaned(
+    orphans: DataFrame, targets: DataFrame, keys: Sequence[str], match: str = "identical", at: str | None = None, valid_from: str | None = None
+) -> DataFrame:
+    """``orphans`` (of ``orphan_references``) with ``reason``.
+
+    ``late``: the first target begins after the reference; ``deleted``: a target began before, so it had ended (or never
+    lived) by then; ``undated``: there is a target, but the reference has no moment; ``missing``: no target at all, as for
+    keys that nothing can match."""
+    r, t = _sides(orphans, targets, list(keys), match, valid_from, None)
+    first = t.groupBy("__lit_tmask", "__lit_tkey").agg(F.min(F.coalesce("__lit_from", F.lit("0001-01-01").cast("timestamp"))).alias("__lit_from"))
     same = (F.col("__lit_mask") == F.col("__lit_tmask")) & (F.col("__lit_key") == F.col("__lit_tkey"))
-    drop = ["__lit_mask", "__lit_key"]
-    if valid_from is None and valid_to is None:
-        return r.join(t.select("__lit_tmask", "__lit_tkey").distinct(), same, "left_anti").drop(*drop)
-    moment = F.col(at)
-    ever = F.lit("0001-01-01").cast("timestamp")
-    endless = t.filter("__lit_to is null").groupBy("__lit_tmask", "__lit_tkey").agg(F.min(F.coalesce("__lit_from", ever)).alias("__lit_from"))
-    left = r.join(endless, same & (F.col("__lit_from") <= moment), "left_anti")
-    day = lambda c: F.floor(F.unix_seconds(c) / F.lit(86400 * slice_days))
-    ended = (
-        t.filter("__lit_to is not null")
-        .groupBy("__lit_tmask", "__lit_tkey", "__lit_to")
-        .agg(F.min(F.coalesce("__lit_from", ever)).alias("__lit_from"))
-        .filter("__lit_from < __lit_to")
-    )
-    ended = ended.withColumn("__lit_tslice", F.explode(F.sequence(day(F.col("__lit_from")), day(F.col("__lit_to")))))
-    left = left.withColumn("__lit_slice", F.coalesce(day(moment), F.lit(0)))
-    inside = same & (F.col("__lit_slice") == F.col("__lit_tslice")) & (F.col("__lit_from") <= moment) & (F.col("__lit_to") > moment)
-    return left.join(ended, inside, "left_anti").drop("__lit_slice", *drop)
+    reason = F.when(F.col("__lit_tkey").isNull(), "missing").when(F.col(at).isNull(), "undated").when(F.col("__lit_from") > F.col(at), "late").otherwise("deleted")
+    return r.join(first, same, "left").withColumn("reason", reason).drop("__lit_mask", "__lit_key", "__lit_tmask", "__lit_tkey", "__lit_from")
 
 
 def canonical_segments(path: Column, root: str = "aligned_cells") -> Column:

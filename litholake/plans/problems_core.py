@@ -21,12 +21,14 @@ def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.unionByName(entries).filter(references.is_reference(F.col("path")))
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orphans(spark: SparkSession, sf_dir: str, reasons: bool = False) -> DataFrame:
     refs = references.with_path_keys(_references(spark, sf_dir), "path").drop("path")
     files = table(spark, sf_dir, "crop_files", "file_path", "arrived_at", "deleted_at").filter(F.col("arrived_at").isNotNull() & references.is_reference(F.col("file_path")))
     lives = references.with_path_keys(files, "file_path").drop("file_path")
     gone = references.orphan_references(refs, lives, references.PATH_KEYS, "identical", "recorded_at", "arrived_at", "deleted_at")
-    return gone.select("src_table", "ref_field", "record_id", F.date_format("recorded_at", "yyyy-MM").alias("ref_month")).distinct()
+    if reasons:
+        gone = references.why_orphaned(gone, lives, references.PATH_KEYS, "identical", "recorded_at", "arrived_at")
+    return gone.select("src_table", "ref_field", "record_id", F.date_format("recorded_at", "yyyy-MM").alias("ref_month"), *(["reason"] if reasons else [])).distinct()
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +40,18 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orphans(spark, sf_dir).groupBy("src_table", "ref_field", "ref_month").agg(F.count("*").alias("orphans"))
 
 
+def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans per table, field and month, told apart by what became of the file: missing, late or deleted."""
+    return _orphans(spark, sf_dir, reasons=True).groupBy("src_table", "ref_field", "ref_month", "reason").agg(F.count("*").alias("orphans"))
+
+
+def p1_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device entries whose cell of a scan has no cell record; a null part of the key matches any (MATCH PARTIAL)."""
+    keys = ["wafer_id", "scan_no", "cell_row", "cell_col"]
+    entries = table(spark, sf_dir, "device_entries", "entry_id", *keys).dropDuplicates(["entry_id"])
+    return references.orphan_references(entries, table(spark, sf_dir, "cell_records", *keys), keys, "partial").select("entry_id")
+
+
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = nested.metadata_points(table(spark, sf_dir, "cell_records", "record_id", "metadata"))
     entries = nested.defect_points(table(spark, sf_dir, "device_entries", "entry_id", "defects"))
@@ -72,7 +86,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select(F.lit("near").alias("relation"), F.col("left_id").alias("component_id"), F.col("right_id").alias("target_id")).unionByName(inside.select(F.lit("inside").alias("relation"), F.col("id").alias("component_id"), F.col("region").alias("target_id")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_points, p3_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_reasons, p1_partial, p2_found, p2_points, p3_found)}
 
 _SEGMENTS = r"""list_reduce(list_prepend([]::varchar[], list_transform(string_split(replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '\', '/'), '/'), lambda s: [s])),
  lambda acc, x: case when x[1] in ('', '.') then acc when x[1] = '..' then acc[:greatest(len(acc) - 1, 0)] else list_concat(acc, x) end)"""
@@ -91,6 +105,13 @@ gone as (select distinct src_table, ref_field, id as record_id, strftime(recorde
 ORACLES: dict[str, str] = {
     "p1_found": f"with {_REFS} select src_table, ref_field, record_id, ref_month from gone",
     "p1_report": f"with {_REFS} select src_table, ref_field, ref_month, count(*) as orphans from gone group by 1, 2, 3",
+    "p1_reasons": f"""with {_REFS}, began as (select p, min(arrived_at) a from life where p is not null and arrived_at is not null group by 1),
+ told as (select distinct src_table, ref_field, id, strftime(recorded_at, '%Y-%m') ref_month, case when a is null then 'missing' when recorded_at is null then 'undated' when a > recorded_at then 'late' else 'deleted' end reason from ref left join began using (p)
+  where not exists (select 1 from life where life.p = ref.p and arrived_at <= recorded_at and (deleted_at is null or deleted_at > recorded_at)))
+ select src_table, ref_field, ref_month, reason, count(*) as orphans from told group by 1, 2, 3, 4""",
+    "p1_partial": """select entry_id from (select distinct on (entry_id) * from device_entries where entry_id is not null order by entry_id) e
+ where not (wafer_id is null and scan_no is null and cell_row is null and cell_col is null) and not exists (select 1 from cell_records c
+  where (e.wafer_id is null or e.wafer_id = c.wafer_id) and (e.scan_no is null or e.scan_no = c.scan_no) and (e.cell_row is null or e.cell_row = c.cell_row) and (e.cell_col is null or e.cell_col = c.cell_col))""",
 }
 
 _LOCATED = """
