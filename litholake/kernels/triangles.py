@@ -9,52 +9,116 @@ def _cross(o, a, b):
     return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
 
 
-def _in_triangle(p, a, b, c) -> bool:
-    """In or on a counter-clockwise triangle."""
-    return _cross(a, b, p) >= 0 and _cross(b, c, p) >= 0 and _cross(c, a, p) >= 0
-
-
-def ear_clip(points: list[tuple[int, int]]) -> list[tuple]:
-    """Triangles that cover exactly the polygon with this outline.
+def _crossings(ring: np.ndarray) -> bool:
+    """Whether two edges of a ring cross properly (touching doesn't count). Edges are met in the order of their left end."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+    left, right = np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 0], b[:, 0])
+    order = np.argsort(left, kind="stable")
+    a, b, left, right = a[order], b[order], left[order], right[order]
+    ends = np.searchsorted(left, right, "right")  # edge i may meet edges i + 1 .. ends[i] - 1
+    side = lambda p, q, r: (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+    at, n = 0, len(a)
+    while at < n:
+        upto = at + 1
+        many = int(ends[at] - at - 1)
+        while upto < n and many + ends[upto] - upto - 1 < 1 << 18:
+            many += int(ends[upto] - upto - 1)
+            upto += 1
+        lengths = ends[at:upto] - np.arange(at, upto) - 1
+        i = np.repeat(np.arange(at, upto), lengths)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + i + 1
+        low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+        near = (low[i] < high[j]) & (low[j] < high[i])
+        i, j = i[near], j[near]
+        sign = lambda *p: np.sign(side(*p))
+        if ((sign(a[i], b[i], a[j]) * sign(a[i], b[i], b[j]) < 0) & (sign(a[j], b[j], a[i]) * sign(a[j], b[j], b[i]) < 0)).any():
+            return True
+        at = upto
+    return False
+
+
+def ear_clip(points: list[tuple]) -> tuple[list[tuple], bool]:
+    """Triangles that cover exactly the polygon with this outline; and whether they are a fan.
 
     Either orientation, open or closed rings, repeated and collinear vertices are fine. An outline that encloses no area
     gives no triangle. Where the outline doubles back on itself (a spike without width) a flat triangle keeps the spike,
-    since it belongs to the outline. Python integers keep the predicate exact for integer coordinates.
-    """
+    since it belongs to the outline. An outline that crosses itself has no triangulation on its own vertices: it gives a fan
+    from its first vertex, of which the even-odd rule counts those that hold a point. Integers below 2**30 are exact.
+
+    Ears wait in a queue: cutting one concerns only its two neighbours. Only reflex vertices can lie in an ear."""
     ring = [p for i, p in enumerate(points) if p != points[i - 1]] if len(points) > 1 else list(points)
     if len(ring) < 3:
-        return []
+        return [], False
     area = sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
     if area == 0:
-        return []
+        return [], False
+    whole = all(isinstance(c, int) for p in ring for c in p)
+    xy = np.array(ring, np.int64 if whole else float)
+    if _crossings(xy):
+        return [(ring[0], p, q) for p, q in zip(ring[1:], ring[2:], strict=False)], True
     if area < 0:
-        ring.reverse()
+        ring, xy = ring[::-1], xy[::-1].copy()
+    n = left = len(ring)
+    prev, after, alive = [i - 1 for i in range(n)], [(i + 1) % n for i in range(n)], [True] * n
+    prev[0] = n - 1
+    turn = [_cross(ring[prev[i]], ring[i], ring[after[i]]) for i in range(n)]
+    blocking = np.array([t <= 0 for t in turn])
+    flat, ears = [i for i in range(n) if turn[i] == 0], [i for i in range(n) if turn[i] > 0]
     out: list[tuple] = []
-    while len(ring) > 3:
-        n, best = len(ring), None
-        corners = [(ring[i - 1], ring[i], ring[(i + 1) % n]) for i in range(n)]
-        turns = [_cross(*c) for c in corners]
-        if 0 in turns:  # straight on, or a spike; first of all, since a spike's foot would pass for an ear
-            best = turns.index(0)
-            a, b, c = corners[best]
+
+    def is_ear(i: int) -> bool:
+        a, b, c = ring[prev[i]], ring[i], ring[after[i]]
+        at = np.flatnonzero(blocking)
+        p = xy[at]
+        inside = np.ones(len(at), bool)
+        for o, q in ((a, b), (b, c), (c, a)):
+            inside &= (q[0] - o[0]) * (p[:, 1] - o[1]) - (q[1] - o[1]) * (p[:, 0] - o[0]) >= 0
+        return all(ring[k] in (a, b, c) for k in at[inside].tolist())
+
+    def cut(i: int) -> None:
+        nonlocal left
+        alive[i], blocking[i] = False, False
+        left -= 1
+        p, q = prev[i], after[i]
+        after[p], prev[q] = q, p
+        if ring[p] == ring[q] and left > 2:  # the two ends of a cut-off spike are one vertex
+            cut(q)
+            return
+        for k in (p, q):
+            turn[k] = _cross(ring[prev[k]], ring[k], ring[after[k]])
+            blocking[k] = turn[k] <= 0
+            (flat if turn[k] == 0 else ears).append(k)
+
+    waiting: list[int] = []
+    while left > 3:
+        i = None
+        while flat and i is None:  # straight on, or a spike; first of all, since a spike's foot would pass for an ear
+            k = flat.pop()
+            i = k if alive[k] and turn[k] == 0 else None
+        if i is not None:
+            a, b, c = ring[prev[i]], ring[i], ring[after[i]]
             if (a[0] - b[0]) * (c[0] - b[0]) + (a[1] - b[1]) * (c[1] - b[1]) > 0:
                 out.append((a, b, c))
-        else:
-            for i, (a, b, c) in enumerate(corners):
-                if turns[i] > 0 and not any(_in_triangle(p, a, b, c) for p in ring if p not in (a, b, c)):
-                    out.append((a, b, c))
-                    best = i
-                    break
-        if best is None:  # the outline crosses itself: cut the corner with the least area, so that the work ends
-            convex = [(abs(_cross(ring[i - 1], ring[i], ring[(i + 1) % n])), i) for i in range(n)]
-            best = min(convex)[1]
-            out.append((ring[best - 1], ring[best], ring[(best + 1) % n]))
-        del ring[best]
-        ring = [p for i, p in enumerate(ring) if len(ring) == 1 or p != ring[i - 1]]
-        if len(ring) < 3:
-            return out
-    out.append(tuple(ring))
-    return out
+            cut(i)
+            ears, waiting = waiting + ears, []
+            continue
+        while ears and i is None:
+            k = ears.pop()
+            if alive[k] and turn[k] > 0:
+                if is_ear(k):
+                    i = k
+                else:
+                    waiting.append(k)
+        if i is None:  # touching parts: cut the corner with the least area, so that the work ends
+            i = min((k for k in range(n) if alive[k]), key=lambda k: abs(turn[k]))
+        out.append((ring[prev[i]], ring[i], ring[after[i]]))
+        cut(i)
+        if not ears and not flat:
+            ears, waiting = waiting, []
+    rest = [ring[k] for k in range(n) if alive[k]]
+    if len(rest) == 3:
+        out.append(tuple(rest))
+    return out, False
 
 
 def morton(x: np.ndarray, y: np.ndarray) -> np.ndarray:

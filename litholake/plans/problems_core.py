@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litholake.operators import nested, references, spatial
-from litholake.session import table
+from litholake.session import materialise, table
 
 REFERENCES = (("cell_records", "image_path", "record_id"), ("cell_records", "metadata_path", "record_id"), ("device_entries", "image_path", "entry_id"))
 NEAR_DBU = 280.0
@@ -74,19 +74,25 @@ def located_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = table(spark, sf_dir, "cells", "cell_row", "cell_col", "crop_x0_dbu", "crop_y1_dbu", "dbu_per_px")
     mx, my = spatial.bbox_center(F.col("polygon_px"), F.col("bbox_px"))
     scale = lambda i: F.coalesce(F.get("scale_to_original_px", F.lit(i)), F.lit(1.0))
-    px = c.select("component_id", "wafer_id", "scan_no", "cell_row", "cell_col", (mx * scale(0)).alias("mx"), (my * scale(1)).alias("my")).filter("mx is not null and my is not null").dropDuplicates(["component_id"])
+    px = c.select("component_id", "wafer_id", "scan_no", "cell_row", "cell_col", (mx * scale(0)).alias("mx"), (my * scale(1)).alias("my")).filter("mx is not null and my is not null").distinct()
     return px.join(cells, ["cell_row", "cell_col"]).select("component_id", "wafer_id", "scan_no", (F.col("crop_x0_dbu") + F.col("dbu_per_px") * F.col("mx")).alias("x"), (F.col("crop_y1_dbu") - F.col("dbu_per_px") * F.col("my")).alias("y"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    located = located_components(spark, sf_dir)
+    located = materialise(located_components(spark, sf_dir), "located")  # narrow rows, read by both branches
     near = spatial.near_pairs(located, ["wafer_id", "scan_no"], "component_id", "x", "y", NEAR_DBU)
     metal = table(spark, sf_dir, "boundaries", "element_index", "layer", "points").filter(F.col("layer").isin(*METAL_LAYERS))
     inside = spatial.inside_regions(located, "component_id", "x", "y", metal, "element_index", "points")
     return near.select(F.lit("near").alias("relation"), F.col("left_id").alias("component_id"), F.col("right_id").alias("target_id")).unionByName(inside.select(F.lit("inside").alias("relation"), F.col("id").alias("component_id"), F.col("region").alias("target_id")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_reasons, p1_partial, p2_found, p2_points, p3_found)}
+def p3_crowding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many components of the same wafer scan lie close to each component, as far as there are any."""
+    located = materialise(located_components(spark, sf_dir), "located")
+    return spatial.neighbour_counts(located, ["wafer_id", "scan_no"], "component_id", "x", "y", NEAR_DBU).withColumnRenamed("id", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_reasons, p1_partial, p2_found, p2_points, p3_found, p3_crowding)}
 
 _SEGMENTS = r"""list_reduce(list_prepend([]::varchar[], list_transform(string_split(replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '\', '/'), '/'), lambda s: [s])),
  lambda acc, x: case when x[1] in ('', '.') then acc when x[1] = '..' then acc[:greatest(len(acc) - 1, 0)] else list_concat(acc, x) end)"""
@@ -121,10 +127,13 @@ m as (select *, case when len(g) > 0 then (list_min(list_transform(g, lambda p:
  case when len(g) > 0 then (list_min(list_transform(g, lambda p: p[2])) + list_max(list_transform(g, lambda p: p[2]))) / 2.0::double when len(b) >= 4 then b[2] + b[4] / 2.0::double end y from u),
 loc as (select component_id, wafer_id, scan_no, crop_x0_dbu + dbu_per_px * (x * coalesce(s[1], 1)) x, crop_y1_dbu - dbu_per_px * (y * coalesce(s[2], 1)) y from m join cells using (cell_row, cell_col) where x is not null and y is not null)
 """
-ORACLES["p3_found"] = f"""with {_LOCATED},
+_NEAR = """
 cellk as (select *, floor(x / 280)::bigint gx, floor(y / 280)::bigint gy from loc),
 near as (select a.component_id, b.component_id t from cellk a cross join (select unnest([-1, 0, 1]) dx) cross join (select unnest([-1, 0, 1]) dy) join cellk b on a.wafer_id = b.wafer_id and a.scan_no = b.scan_no and b.gx = a.gx + dx and b.gy = a.gy + dy
- where a.component_id < b.component_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 280 * 280),
+ where a.component_id < b.component_id and (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 280 * 280)
+"""
+ORACLES["p3_crowding"] = f"with {_LOCATED}, {_NEAR} select component_id, count(*) as neighbours from (select component_id from near union all select t from near) group by 1"
+ORACLES["p3_found"] = f"""with {_LOCATED}, {_NEAR},
 r0 as (select distinct on (element_index) element_index, list_filter(points, lambda p: p is not null) p from boundaries where layer in (4, 8) and len(points) >= 3 order by element_index),
 r1 as (select element_index, p, len(p) n, list_min(list_transform(p, lambda q: q.x)) x0, list_max(list_transform(p, lambda q: q.x)) x1, list_min(list_transform(p, lambda q: q.y)) y0, list_max(list_transform(p, lambda q: q.y)) y1 from r0),
 r2 as (select * from r1 where list_sum(list_transform(range(1, n + 1), lambda i: p[i].x::double * p[i % n + 1].y - p[i].y::double * p[i % n + 1].x)) <> 0),
