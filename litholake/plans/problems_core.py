@@ -68,6 +68,23 @@ def p2_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(spark, sf_dir)
 
 
+def p2_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The defects of the device entries as a table of their own, linked by entry and place."""
+    entries = table(spark, sf_dir, "device_entries", "entry_id", "defects")
+    return nested.child_rows(entries, "entry_id", "defects", ["defect_type", "center_x_um", "center_y_um", "width_um", "height_um", "score", "area_px", "source", "seam_overlap_frac"]).withColumnRenamed("parent_id", "entry_id")
+
+
+def p2_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images of the detector bodies, with the number of their defects."""
+    return nested.body_images(table(spark, sf_dir, "detector_results", "result_id", "body"))
+
+
+def p2_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalar members of the extraction metadata, one row each."""
+    cells = table(spark, sf_dir, "cell_records", "record_id", "metadata")
+    return nested.metadata_members(cells, "record_id", "metadata", ("cell_stem", "crop_source", "analysis_png", "flat_angle_deg", "downscale_factor", "local_stitch_scale"))
+
+
 def located_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each component once, with its place in the design (DBU); components without a location are left out."""
     c = table(spark, sf_dir, "defect_components", "component_id", "wafer_id", "scan_no", "cell_row", "cell_col", "polygon_px", "bbox_px", "scale_to_original_px")
@@ -92,7 +109,7 @@ def p3_crowding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.neighbour_counts(located, ["wafer_id", "scan_no"], "component_id", "x", "y", NEAR_DBU).withColumnRenamed("id", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_reasons, p1_partial, p2_found, p2_points, p3_found, p3_crowding)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_reasons, p1_partial, p2_found, p2_points, p2_defects, p2_images, p2_metadata, p3_found, p3_crowding)}
 
 _SEGMENTS = r"""list_reduce(list_prepend([]::varchar[], list_transform(string_split(replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '\', '/'), '/'), lambda s: [s])),
  lambda acc, x: case when x[1] in ('', '.') then acc when x[1] = '..' then acc[:greatest(len(acc) - 1, 0)] else list_concat(acc, x) end)"""
@@ -120,6 +137,50 @@ ORACLES: dict[str, str] = {
   where (e.wafer_id is null or e.wafer_id = c.wafer_id) and (e.scan_no is null or e.scan_no = c.scan_no) and (e.cell_row is null or e.cell_row = c.cell_row) and (e.cell_col is null or e.cell_col = c.cell_col))""",
 }
 
+ORACLES["p2_defects"] = """select entry_id, (i - 1)::int as item_no, d.defect_type, d.center_x_um, d.center_y_um, d.width_um, d.height_um, d.score, d.area_px, d.source, d.seam_overlap_frac
+ from (select entry_id, i, defects[i] d from (select entry_id, defects, unnest(range(1, len(defects) + 1)) i from (select distinct on (entry_id) * from device_entries where entry_id is not null order by entry_id))) where d is not null"""
+
+# the object of a JSON text, and a member that may be text itself, as the statement of problem 2 has them
+_BARE = "ltrim({0}, chr(65279))"
+_JSON = "(case when json_valid({0}) then {0}::json end)"
+_UNWRAP = "case when json_type({0}) = 'VARCHAR' and json_valid(ltrim({0}->>'$', chr(65279))) then ltrim({0}->>'$', chr(65279))::json when json_type({0}) = 'VARCHAR' then null else {0} end"
+_LONE = "case when json_type({0}) = 'ARRAY' and json_array_length({0}) = 1 and json_type({0}, '$[0]') = 'OBJECT' then {0}->0 when json_type({0}) = 'OBJECT' then {0} end"
+
+
+def _objects(name: str, key: str, text: str) -> str:
+    bare, one, lone = _BARE.format(text), _UNWRAP.format("j"), _LONE.format("j")
+    return f"""(select id, {lone} j from (select id, {one} j from (select id, {_JSON.format("t")} j from (select distinct on ({key}) {key} id, {bare} t from {name} where {key} is not null order by {key}))))"""
+
+
+_NUM = "in ('BIGINT', 'UBIGINT', 'HUGEINT', 'UHUGEINT', 'DOUBLE')"
+_XY = f"""case when json_type(e) = 'ARRAY' and json_type(e, '$[0]') {_NUM} and json_type(e, '$[1]') {_NUM} then [(e->0)::double, (e->1)::double]
+ when json_type(e) = 'OBJECT' and json_type(e, '$.x') {_NUM} and json_type(e, '$.y') {_NUM} then [(e->'x')::double, (e->'y')::double] end"""
+_P2 = f"""with o as (select * from {_objects("cell_records", "record_id", "metadata")} where j is not null),
+m as (select id, child, {_UNWRAP.format("a")} a from (select id, unnest(['gds_corners_um', 'overlapping_tiles']) child, unnest([j->'gds_corners_um', j->'overlapping_tiles']) a from o)),
+cp as (select id, child, i, {_XY} p from (select id, child, i, a->i e from (select id, child, a, unnest(range(json_array_length(a)::bigint)) i from m where json_type(a) = 'ARRAY'))),
+de as (select entry_id id, i - 1 i, defects[i] d from (select entry_id, defects, unnest(range(1, len(defects) + 1)) i from (select distinct on (entry_id) * from device_entries where entry_id is not null order by entry_id))),
+dq as (select id, i, k - 1 k, [g[k][1], g[k][2]] p from (select id, i, d.polygon_px g, unnest(range(1, len(d.polygon_px) + 1)) k from de where d is not null) where len(g[k]) >= 2 and g[k][1] is not null and g[k][2] is not null),
+b as (select * from {_objects("detector_results", "result_id", "body")} where j is not null),
+li as (select id, n, im->>'image' child, case when json_type(im->'image') = 'VARCHAR' then true else false end named, im->'defects' d from (select id, n, (j->'images')->n im from (select id, j, unnest(range(json_array_length(j->'images')::bigint)) n from b where json_type(j->'images') = 'ARRAY')) where json_type(im) = 'OBJECT'),
+ob as (select id, case when json_type(j, '$.annotations') is not null then case when json_type(j, '$.annotations') = 'OBJECT' then j->'annotations' end else j end j from b where json_type(j, '$.images') is null),
+kk as (select id, j, k, json_keys(j)[k] child from (select id, j, unnest(range(1, len(json_keys(j)) + 1)) k from ob where j is not null)),
+im as (select id, n, case when named then child end child, d from li union all select id, row_number() over (partition by id order by k) - 1, child, d from (select id, k, child, json_extract(j, '$."' || child || '"') d from kk) where json_type(d) = 'ARRAY'),
+nu as (select row_number() over () u, id, n, child, d from im),
+sl as (select u, id, child, s, d->s e from (select u, id, child, d, unnest(range(json_array_length(d)::bigint)) s from nu where json_type(d) = 'ARRAY') where json_type(d, '$[' || s || ']') = 'OBJECT' union all select u, id, child, 0, d from nu where json_type(d) = 'OBJECT'),
+sp as (select u, id, child, s, {_UNWRAP.format("g")} g from (select u, id, child, s, e->'polygon_px' g from sl)),
+bp as (select u, id, child, s, k, {_XY} p from (select u, id, child, s, k, g->k e from (select u, id, child, s, g, unnest(range(json_array_length(g)::bigint)) k from sp where json_type(g) = 'ARRAY'))),
+f as (select 'cell_records' parent_table, id, child, i item, -1 point, p from cp where p is not null
+ union all select 'device_entries', id, 'defects', i, k, p from dq union all select 'device_entries', id, 'defects', i, -1, null from de where d is not null and not exists (select 1 from dq where dq.id = de.id and dq.i = de.i)
+ union all select 'detector_results', id, child, s, k, p from bp where p is not null
+ union all select 'detector_results', id, child, s, -1, null from sp where not exists (select 1 from bp where bp.u = sp.u and bp.s = sp.s and p is not null)
+ union all select 'detector_results', id, child, -1, -1, null from nu where not exists (select 1 from sl where sl.u = nu.u))"""
+ORACLES["p2_found"] = f"{_P2} select parent_table, id as parent_id, child, item::int as item_no, point::int as point_no from f"
+ORACLES["p2_points"] = f"{_P2} select parent_table, id as parent_id, child, item::int as item_no, point::int as point_no, p[1] as x, p[2] as y from f"
+
+ORACLES["p2_images"] = f"{_P2} select nu.id as parent_id, n::int as image_no, nu.child as image, count(sl.u)::int as defects from nu left join sl using (u) group by u, 1, 2, 3"
+ORACLES["p2_metadata"] = f"""{_P2} select id as parent_id, member, case when json_type(v) = 'VARCHAR' then v->>'$' end as text, case when json_type(v) {_NUM} then v::double end as number
+ from (select id, member, json_extract(j, '$.' || member) v from (select id, j, unnest(['cell_stem', 'crop_source', 'analysis_png', 'flat_angle_deg', 'downscale_factor', 'local_stitch_scale']) member from o)) where json_type(v) = 'VARCHAR' or json_type(v) {_NUM}"""
+
 _LOCATED = """
 c as (select distinct on (component_id) * from defect_components order by component_id, ingested_at),
 u as (select component_id, wafer_id, scan_no, cell_row, cell_col, bbox_px b, scale_to_original_px s, list_filter(polygon_px, lambda p: p is not null and len(p) >= 2 and p[1] is not null and p[2] is not null) g from c),

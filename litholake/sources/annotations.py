@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litholake.functions import geometry
-from litholake.operators.nested import decode_object, images_of
+from litholake.kernels.jsonindex import objects_of
+from litholake.operators.nested import Images, by_bytes
 
 _M = "array<array<double>>"
 #: Superset of the three metadata shapes; every field may be missing.
@@ -47,16 +49,17 @@ def annotation_rows(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
     see ``last_by_stem``."""
     kept = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keep)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for *k, text in b.itertuples(index=False, name=None):
-                o = decode_object(text)
-                for n, (image, defects) in enumerate(images_of(o) if o is not None else []):
-                    rows += [(*k, image, n, i, json.dumps(d)) for i, d in enumerate(defects) if isinstance(d, dict)]
-            yield pd.DataFrame(rows, columns=[*keep, "image", "image_no", "place", "text"])
-
-    out = df.select(*keep, text_col).mapInPandas(run, f"{kept + ', ' if kept else ''}image string, image_no int, place int, text string")
+            for i, j in by_bytes(b.column(len(keep))):
+                for ix, row, token in objects_of(b.column(len(keep)).slice(i, j - i)):
+                    im = Images(ix, row, token)
+                    owner = pa.array(i + im.row[im.image])
+                    named = im.name.take(pa.array(im.image))
+                    numbers = [pa.array(v.astype(np.int32)) for v in (im.no[im.image], im.place)]
+                    yield pa.RecordBatch.from_arrays([*(b.column(k).take(owner) for k in range(len(keep))), named, *numbers, ix.text(im.slot).cast(pa.string())], names=[*keep, "image", "image_no", "place", "text"])
+
+    out = df.select(*keep, text_col).mapInArrow(run, f"{kept + ', ' if kept else ''}image string, image_no int, place int, text string")
     return out.select(*keep, "image", "image_no", "place", F.from_json("text", DEFECT, {"allowNonNumericNumbers": "true"}).alias("defect"))
 
 

@@ -43,3 +43,87 @@ def test_offset_kernel_on_sliced_arrays():
     parents, place, values = nested.list_layout(arr)
     assert parents.tolist() == [0, 0, 3] and place.tolist() == [0, 1, 0] and values.to_pylist() == [1, 2, 3]
     assert nested.expand(np.zeros(0, np.int64))[0].tolist() == []
+
+
+def brute_points(value):
+    if isinstance(value, str):
+        try:
+            value = loads(value)
+        except (ValueError, RecursionError):
+            return []
+    number = lambda v: type(v) in (int, float)
+    out = []
+    for k, e in enumerate(value if isinstance(value, list) else []):
+        a, b = (e[0], e[1]) if isinstance(e, list) and len(e) >= 2 else (e.get("x"), e.get("y")) if isinstance(e, dict) else (None, None)
+        if number(a) and number(b):
+            out.append((k, float(a), float(b)))
+    return out
+
+
+def loads(value):
+    while isinstance(value, str):
+        value = json.loads(value.removeprefix("\ufeff"))
+    return value
+
+
+def brute_object(text):
+    try:
+        value = loads(text)
+    except (ValueError, RecursionError):
+        return None
+    value = value[0] if isinstance(value, list) and len(value) == 1 and isinstance(value[0], dict) else value
+    return value if isinstance(value, dict) else None
+
+
+def test_index_equals_a_parser_on_random_and_broken_texts():
+    import random
+
+    r = random.Random(6)
+
+    def value(depth):
+        k = r.random()
+        if depth > 3 or k < 0.35:
+            return r.choice([1, -2.5, 1e30, True, None, "a", "é\n\"q\"\\", float("nan"), float("inf"), "[[1,2]]", "{\"x\":1}", "", 0])
+        if k < 0.7:
+            return [value(depth + 1) for _ in range(r.randint(0, 4))]
+        return {r.choice(["x", "y", "gds_corners_um", "k\"é", "overlapping_tiles", "polygon_px"]): value(depth + 1) for _ in range(r.randint(0, 4))}
+
+    texts = []
+    for _ in range(1500):
+        v = {"gds_corners_um": value(1), "overlapping_tiles": value(1)} if r.random() < 0.6 else value(0)
+        t = json.dumps(v, ensure_ascii=r.random() < 0.5, indent=r.choice([None, 1]))
+        if r.random() < 0.15:
+            t = json.dumps(t)
+        for _ in range(r.choice([0, 0, 1, 2])):
+            i = r.randint(0, max(len(t) - 1, 0))
+            t = t[:i] + r.choice(["", "", ",", "]", "}", "\"", "\\", "\\u00e9", "[", "{", ":", "1", " ", "\t", "x", "-", "0", "\ufeff"]) + t[i + r.randint(0, 2) :]
+        texts.append(t)
+    texts += ["", " ", "\ufeff{}", "{} {}", "[1,]", "{\"a\":1,}", "01", "1.", ".5", "-", "+1", "1e5", "\"\\x\"", "\"\\u12g4\"", "\"a\tb\"", "nul", "{\"a\" 1}", "{\"gds_corners_um\":[1],\"gds_corners_um\":[[1,2]]}", "\\", "\"\\", "{\"a\":\"\\\\\"}", "[\u00a01]"]
+    texts += ["{\"gds_corners_um\":[[1,2]],\"gds_corners\\u005fum\":[[3,4],[5,6]]}"]
+    got = {i: [] for i in range(len(texts))}
+    for ix, row, token in nested.objects_of(pa.array(texts)):
+        for name in ("gds_corners_um", "overlapping_tiles"):
+            owner, place, ok, x, y = nested.points_of(ix, ix.member(token, name))
+            for k in np.flatnonzero(ok):
+                got[row[owner[k]]].append((name, int(place[k]), x[k], y[k]))
+    for i, t in enumerate(texts):
+        o = brute_object(t)
+        want = [(n, *p) for n in ("gds_corners_um", "overlapping_tiles") for p in (brute_points(o.get(n)) if o is not None else [])]
+        assert repr(sorted(map(repr, got[i]))) == repr(sorted(repr((n, k, np.float64(x), np.float64(y))) for n, k, x, y in want)), t
+    live = nested.JsonIndex(pa.array(texts)).live
+    for t, ok in zip(texts, live.tolist(), strict=True):
+        try:
+            json.loads(t.removeprefix("\ufeff"))
+            assert ok, t
+        except ValueError:
+            assert not ok, t
+
+
+def test_related_tables(spark):
+    body = {"images": [{"image": "a", "defects": [{}, 3, {}]}, 7, {"image": 5}]}
+    df = spark.createDataFrame([(1, json.dumps(body)), (2, json.dumps({"f": [{}], "g": 1})), (3, "{")], "result_id long, body string")
+    assert sorted(map(tuple, nested.body_images(df).collect()), key=repr) == [(1, 0, "a", 2), (1, 2, None, 0), (2, 0, "f", 1)]
+    m = nested.metadata_members(df.select("result_id", "body").withColumn("body", df["body"]), "result_id", "body", ("g", "f"))
+    assert [tuple(r) for r in m.collect()] == [(2, "g", None, 1.0)]
+    rows = spark.createDataFrame([(1, [("t", 1.0), None, (None, 2.0)]), (2, None), (3, [])], "id long, d array<struct<kind:string, score:double>>")
+    assert sorted(map(tuple, nested.child_rows(rows, "id", "d", ["kind", "score"]).collect()), key=repr) == [(1, 0, "t", 1.0), (1, 2, None, 2.0)]
