@@ -15,8 +15,8 @@ does. At last each record is decided by posterior: a segment is repaired by its
 a chain that is certain in one segment of a text counts as likely in that text's other segments.
 
 Cost. Only *islands* matter for the evidence: stretches without white space around characters beyond ASCII. Texts are cut
-into islands once; each *distinct* island is scored once per model, whatever the number of texts and tasks; segments,
-priors and decisions are joins of these tables. Only texts that are repaired are read again.
+into segments of islands once; each *distinct* segment is judged once per model, however many texts hold it; priors and
+decisions are joins of these tables. Only texts that are repaired are read again.
 
 Bounds. Characters are counted exactly (there are 1,114,112), pairs in a count-min table of two rows of 2^21 counters: all
 texts count, nothing is dropped, and the model has one size whatever the corpus. An island may be arbitrary with
@@ -395,37 +395,54 @@ def fit_model(counts: DataFrame) -> Bigrams:
     return Bigrams(top["k"].to_numpy(np.int64), top["n"].to_numpy(float))
 
 
-def scored_islands(islands: DataFrame, model: Broadcast) -> DataFrame:
-    """``island, hopeful, chains, ratios`` of the islands with a possible chain; hopeful: one of them is likelier."""
+SEG = ["h1", "h2"]
+CACHE = 100_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for a in range(0, b.num_rows, 256):
-                texts = b.column(0).slice(a, 256).to_pylist()
-                rows = [(t, max(s.values()) > 0, [name_of(c) for c in s], list(s.values())) for t, s in zip(texts, score_islands(texts, model.value), strict=True) if s]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.float64())), strict=True)], names=["island", "hopeful", "chains", "ratios"])
 
-    return islands.select("island").mapInArrow(run, "island string, hopeful boolean, chains array<string>, ratios array<double>")
+def segments(cut: DataFrame) -> DataFrame:
+    """The segments that hold islands, with two 64-bit hashes of these that stand for them."""
+    seg = cut.select(*ROW, "key", F.explode("segs").alias("s")).select(*ROW, "key", "s.no", "s.islands")
+    return seg.withColumns({"h1": F.xxhash64("islands"), "h2": F.xxhash64(F.lit("second"), "islands")})
 
 
-def evidence(cut: DataFrame, scored: DataFrame) -> DataFrame:
-    """One row for each likely chain of each segment: the segment's islands, ``chain`` and ``ratio`` (log likelihood).
+def combine(scores: list[dict[tuple, float]]) -> list[tuple[str, float]]:
+    """The chains of a segment whose ratio, the sum of its islands', is above 0 and not hopelessly behind the best.
 
-    A segment's ratio is the sum of its islands'. Steps that undo sequence by sequence leave other islands as they are;
-    any other chain must be possible throughout. Only sums above 0 can win and are kept. Repeated rows count once."""
-    seg = cut.select(*ROW, "key", F.explode("segs").alias("s")).select(*ROW, "key", "s.no", "s.islands")
-    hopeful = scored.filter("hopeful").select("island")
-    suspect = seg.withColumn("island", F.explode(F.array_distinct("islands"))).join(hopeful, "island", "left_semi").dropDuplicates([*ROW, "no"]).drop("island")
-    each = suspect.withColumn("island", F.explode("islands")).join(scored.select("island", "chains", "ratios"), "island")
-    # only chains that are likelier in one of the islands can have a sum above 0
-    flat = each.select(*ROW, "key", "no", "islands", F.explode(F.arrays_zip("chains", "ratios")).alias("c"))
-    sums = flat.groupBy(*ROW, "key", "no", "islands", F.col("c.chains").alias("chain")).agg(F.sum("c.ratios").alias("held"), F.count("*").alias("many"))
-    gap = F.when(F.col("chain").rlike(r"^((utf_8<(" + "|".join(SINGLE) + r")|lost<utf_8)(\+|$))+$"), F.lit(0.0)).otherwise(F.lit(WORST))
-    total = F.round(F.col("held") + gap * (F.size("islands") - F.col("many")), 1)
-    best = F.max("ratio").over(Window.partitionBy(*ROW, "no"))
-    kept = sums.withColumn("ratio", total).filter("ratio > 0").withColumn("best", best)
-    return kept.filter(F.col("ratio") > F.col("best") - BEHIND).select(*ROW, "key", "no", "islands", "chain", "ratio")
+    Steps that undo sequence by sequence leave other islands as they are; any other chain must be possible throughout. A
+    sum above 0 takes an island that is."""
+    sums = {}
+    for chain in {c for s in scores for c, v in s.items() if v > 0}:
+        gap = 0.0 if _piecewise(chain) else WORST
+        total = sum(s.get(chain, gap) for s in scores)
+        if total > 0:
+            sums[chain] = total
+    best = max(sums.values(), default=0.0)
+    return sorted((name_of(c), round(v, 1)) for c, v in sums.items() if v > best - BEHIND)
+
+
+def evidence(segs: DataFrame, model: Broadcast) -> DataFrame:
+    """``h1, h2, c`` (chains and log likelihood ratios) of the distinct segments that may be garbled. A task keeps the
+    scores of the islands it has seen, as most recur; what is kept is bounded and only saves work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, dict[tuple, float]] = {}
+        target = pa.list_(pa.struct([("chain", pa.string()), ("ratio", pa.float64())]))
+        for b in batches:
+            for a in range(0, b.num_rows, 512):
+                part = b.slice(a, 512)
+                lists = part.column(2).to_pylist()
+                new = sorted({i for x in lists for i in x} - cache.keys())
+                if len(cache) + len(new) > CACHE:
+                    cache.clear()
+                    new = sorted({i for x in lists for i in x})
+                for k in range(0, len(new), 256):
+                    cache.update(zip(new[k : k + 256], score_islands(new[k : k + 256], model.value), strict=True))
+                found = [combine([cache[i] for i in x]) for x in lists]
+                keep = [k for k, c in enumerate(found) if c]
+                rows = part.take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([[{"chain": n, "ratio": v} for n, v in found[k]] for k in keep], target)], names=[*SEG, "c"])
+
+    return segs.select(*SEG, "islands").mapInArrow(run, "h1 long, h2 long, c array<struct<chain: string, ratio: double>>")
 
 
 def weighed(found: DataFrame, odds: DataFrame | None, by: Sequence[str]) -> DataFrame:
@@ -445,15 +462,14 @@ def _softmax(p: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
     return p.withColumns({"share": F.exp(F.col("v") - F.col("top")) / F.col("total"), "ll": F.col("top") + F.log("total")}).drop("v", "top", "total")
 
 
-def fit_prior(found: DataFrame, sizes: DataFrame, odds: DataFrame | None = None, tolerance: float = 5e-4, most: int = 200) -> tuple[DataFrame, float]:
-    """The prior (``key, chain, odds``: log odds) by EM over the evidence, until the log likelihood changes by less than
+def fit_prior(held: DataFrame, sizes: DataFrame, odds: DataFrame | None = None, tolerance: float = 5e-4, most: int = 200) -> tuple[DataFrame, float]:
+    """The prior (``key, chain, odds``: log odds) by EM over the evidence (``key, c, n``), until the log likelihood changes by less than
     ``tolerance`` of itself; and the expected number of garbled segments. ``odds``: a prior to start from. Raises after ``most`` rounds (the likelihood
     rises in each, so it settles far before).
 
     Segments with the same evidence are counted first, so a round costs little. A source's shares are smoothed towards
     those of all sources with the weight of ``STRENGTH`` segments. Sources are rows of a table, as many as there are."""
-    each = found.groupBy(*ROW, "key", "no").agg(F.sort_array(F.collect_list(F.struct("chain", "ratio"))).alias("c"))
-    kinds = materialise(each.groupBy("key", "c").agg(F.count("*").alias("n")).withColumn("kind", F.monotonically_increasing_id()), "kinds")  # numbered once, when written
+    kinds = materialise(held.groupBy("key", "c").agg(F.sum("n").alias("n")).withColumn("kind", F.monotonically_increasing_id()), "kinds")  # numbered once, when written
     flat = kinds.select("kind", "key", "n", F.posexplode("c").alias("at", "e")).select("kind", "key", "n", "at", "e.chain", "e.ratio")
     everything = float(sizes.agg(F.sum("n")).first()[0] or 1.0)
     shares, last = None, None
@@ -471,7 +487,7 @@ def fit_prior(found: DataFrame, sizes: DataFrame, odds: DataFrame | None = None,
     raise RuntimeError(f"the prior did not settle in {most} rounds")
 
 
-def repaired_counts(found: DataFrame, odds: DataFrame) -> DataFrame:
+def repaired_counts(held: DataFrame, segs: DataFrame, odds: DataFrame) -> DataFrame:
     """Expected change of the counts: stored islands of garbled segments out, repaired ones in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -482,13 +498,17 @@ def repaired_counts(found: DataFrame, odds: DataFrame) -> DataFrame:
                 counts.add(code_points(repair_segment(island, chain_of(name))), None, w)
         yield from counts.rows()
 
-    moved = weighed(found, odds, [*ROW, "no"]).withColumn("island", F.explode("islands")).groupBy("island", "chain").agg(F.sum("share").alias("w"))
+    flat = held.select("key", *SEG, "n", F.explode("c").alias("e")).select("key", *SEG, "n", "e.chain", "e.ratio")
+    share = weighed(flat, odds, ["key", *SEG]).groupBy(*SEG, "chain").agg(F.sum(F.col("share") * F.col("n")).alias("w")).filter("w > 0.001")
+    moved = share.join(segs, SEG).select(F.explode("islands").alias("island"), "chain", "w").groupBy("island", "chain").agg(F.sum("w").alias("w"))
     return moved.mapInArrow(run, "k long, n double")
 
 
 def decide(found: DataFrame, odds: DataFrame) -> DataFrame:
-    """``doc_id, field, mark, picks`` (segment number and chain) of the garbled texts, from the evidence alone."""
-    seg, row = [*ROW, "no"], found.repartition(*ROW).drop("islands")
+    """``doc_id, field, mark, picks`` (segment number and chain) of the garbled texts, from the evidence (segments with
+    ``key`` and ``c``) alone. Repeated rows count once."""
+    seg = [*ROW, "no"]
+    row = found.dropDuplicates(seg).select(*seg, "key", F.explode("c").alias("e")).select(*seg, "key", "e.chain", "e.ratio").repartition(*ROW)
     first = weighed(row, odds, seg).withColumn("sure", F.max("share").over(Window.partitionBy(*ROW, "chain")))
     local = F.greatest(F.col("odds"), F.when(F.col("sure") > 0.9, F.lit(math.log(0.5))).otherwise(F.lit(-1e9)))
     again = _softmax(first.drop("share", "ll"), F.col("ratio") + local, seg)
@@ -531,21 +551,22 @@ def judge_texts(df: DataFrame, id_col: str = "doc_id", text_cols: Sequence[str]
     docs = _texts(df, id_col, text_cols, source_col)
     cut = materialise(cut_texts(docs), "cut")
     counts = materialise(count_pairs(docs, "text"), "pairs")
-    islands = materialise(spread(cut.select(F.explode(F.flatten("segs.islands")).alias("island")).distinct()), "islands")
+    segs = materialise(spread(segments(cut).select(*SEG, "islands").distinct()), "segments")
+    kinds = materialise(segments(cut).groupBy("key", *SEG).agg(F.count("*").alias("n")), "kinds")
     sizes = materialise(cut.groupBy("key").agg(F.sum("n").alias("n")), "sizes")
-    now, before, found, scored, odds = counts, None, None, None, None
+    now, before, odds, ev, held = counts, None, None, None, None
     for _ in range(most):
         model = spark.sparkContext.broadcast(fit_model(now))
-        discard(scored)
-        discard(found)
-        scored = materialise(scored_islands(islands, model), "scored")
-        found = materialise(evidence(cut, scored), "evidence")
-        odds, many = fit_prior(found, sizes, odds)
+        discard(ev)
+        discard(held)
+        ev = materialise(evidence(segs, model), "evidence")
+        held = materialise(kinds.join(ev, SEG), "held")
+        odds, many = fit_prior(held, sizes, odds)
         if before is not None and abs(many - before) <= settled * max(many, 1.0):
             break
         before = many
-        now = counts.unionByName(repaired_counts(found, odds)).groupBy("k").agg(F.sum("n").alias("n"))
-    return decide(found, odds)
+        now = counts.unionByName(repaired_counts(held, segs, odds)).groupBy("k").agg(F.sum("n").alias("n"))
+    return decide(segments(cut).drop("islands").join(ev, SEG), odds)
 
 
 def find_garbled(df: DataFrame, id_col: str = "doc_id", text_cols: Sequence[str] = ("text",), source_col: str = "source") -> DataFrame:

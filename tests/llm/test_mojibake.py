@@ -94,9 +94,9 @@ def test_texts_garbled_four_times_are_restored(spark):
 
 
 def test_many_sources_keep_their_own_prior(spark):
-    rows = [(k, "text", 0, f"text|s{k}", 0, "utf_8<cp1252", 9.0 if k == 7 else 2.0) for k in range(600)] + [(1000 + k, "text", 0, "text|", 0, "utf_8<cp1252", 12.0) for k in range(40)]
-    found = spark.createDataFrame(rows, "doc_id long, field string, mark long, key string, no int, chain string, ratio double")
-    sizes = found.groupBy("key").count().selectExpr("key", "count * 50 as n")
+    rows = [(f"text|s{k}", [("utf_8<cp1252", 9.0 if k == 7 else 2.0)], 1) for k in range(600)] + [("text|", [("utf_8<cp1252", 12.0)], 40)]
+    found = spark.createDataFrame(rows, "key string, c array<struct<chain: string, ratio: double>>, n long")
+    sizes = found.selectExpr("key", "n * 50 as n")
     odds, many = m.fit_prior(found, sizes)
     own = {r.key: r.odds for r in odds.collect()}
     assert len(own) == 601 and many > 0
