@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litholake.kernels import passes as kernel_passes
-from litholake.kernels import raster
+from litholake.kernels import evidence, raster
 from litholake.operators.greedy import suppress_duplicates
 from litholake.operators.rollup import first_reason
 
@@ -33,7 +33,9 @@ class Params:
     open_radius: int = 1
     close_radius: int = 5
     max_width: int = 3000
-    seam_reject: float = 0.5
+    seam_reject: float = 0.55
+    seam_aspect: float = 7.0
+    seam_margin: float = 1.25
     duplicate_share: float = 0.7
 
 
@@ -41,21 +43,24 @@ PEAKS = ("large", "compact", "chroma_large", "dark_local", "dark", "chroma", "fo
 SCHEMA = "image string, height int, width int, x int, y int, w int, h int, area_px int, angle double, score double, mean_score double, seam_frac double, design_frac double, polygon_px array<array<int>>, reason string, error string, " + ", ".join(f"{p} double" for p in PEAKS)
 
 
-def candidates(images: DataFrame, params: Params = Params(), passes: tuple = (), image_col: str = "image", content_col: str = "content", seam_col: str | None = None, design_col: str | None = None) -> DataFrame:
+def candidates(images: DataFrame, params: Params = Params(), passes: tuple = (), image_col: str = "image", content_col: str = "content", seam_col: str | None = None, design_col: str | None = None, template: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Components above the threshold of each image (PNG bytes), with their evidence. Optional masks (PNG, any grey above
-    0) mark seams and the design: candidates outside the design score nothing. An image that can't be read gives one row
+    0) mark seams and the design: candidates outside the design score nothing, weak ones on its outlines less. ``template``
+    (of ``template_of``: one image's size) adds differences from the usual image, for images of its size. An image that can't be read gives one row
     with ``error``; an image without candidates gives none; null images are skipped."""
 
+    known = images.sparkSession.sparkContext.broadcast(template) if template is not None else None
+
     def one(name: str, data: bytes, seam: bytes | None, design: bytes | None) -> list[tuple]:
         img = raster.decode_png(bytes(data))
         full_h, full_w = img.shape[:2]
         img = raster.resize_max_width(img, params.max_width)
         h, w = img.shape[:2]
-        mask = raster.interior_mask(h, w, params.border_px, params.border_frac)
-        score, planes = raster.defect_score(img, mask)
+        mask = evidence.interior_mask(h, w, params.border_px, params.border_frac, img)
         masks = [raster.resize(raster.decode_png(bytes(m), grey=True), h, w) > 0 if m is not None else None for m in (seam, design)]
-        if masks[1] is not None:
-            score = np.where(masks[1], score, 0)
+        usual = known.value if known is not None else None
+        fits = usual is not None and usual[0].shape[:2] == (h, w)
+        score, planes = evidence.defect_score(img, mask, usual if fits else None, masks[1])
         labels, n = raster.label(raster.open_close(score >= params.threshold, params.open_radius, params.close_radius))
         reasons = ["kept"] * n
         if passes:  # later passes see what the base has taken; touching masks become one, with their reasons joined
@@ -94,6 +99,14 @@ def candidates(images: DataFrame, params: Params = Params(), passes: tuple = (),
     return picked.mapInPandas(run, SCHEMA)
 
 
+def template_of(images: DataFrame, most: int = 15, max_width: int = 3000, image_col: str = "image", content_col: str = "content") -> tuple[np.ndarray, np.ndarray] | None:
+    """Median and spread (Lab) of the ``most`` images with the smallest names, those of the first one's size; a documented
+    sample, since a median of images needs no more. None without images. A18."""
+    rows = images.filter(F.col(content_col).isNotNull()).orderBy(image_col).select(content_col).limit(most).collect()
+    labs = [raster.to_lab(raster.resize_max_width(raster.decode_png(bytes(r[0])), max_width)) for r in rows]
+    return raster.median_template([x for x in labs if x.shape == labs[0].shape]) if labs else None
+
+
 def reject_reason(p: Params = Params()) -> Column:
     """Name of the first rule that rejects a candidate, null for a kept one. P3, D1, D11, D13.
 
@@ -111,6 +124,7 @@ def reject_reason(p: Params = Params()) -> Column:
     strong = forced | (F.col("chroma_large") >= p.min_score + 1.2) | (F.col("dark_local") >= p.min_score + 2) | (F.col("dark") >= p.min_score + 4) | (F.col("large") >= p.min_score + 2.5)
     at_x = (F.col("x") <= margin) | (F.col("x") + F.col("w") >= F.col("width") - margin)
     at_y = (F.col("y") <= margin) | (F.col("y") + F.col("h") >= F.col("height") - margin)
+    corner_y = (F.col("y") <= F.floor(1.6 * margin)) | (F.col("y") + F.col("h") >= F.col("height") - F.floor(1.6 * margin))
     low = F.col("score")
     # the registration target of every crop: small, at the bottom centre, neither dark nor reaching the edge
     at_bottom_centre = ((F.col("x") + F.col("w") / 2) / F.col("width")).between(0.425, 0.575) & (F.col("y") + F.col("h") / 2 >= 0.865 * F.col("height")) & (F.col("w") * F.col("h") < 0.014 * pixels)
@@ -124,12 +138,13 @@ def reject_reason(p: Params = Params()) -> Column:
         ("sparse", (fill < 0.22) & (low < p.min_score + 1) & (F.col("compact") < p.min_score + 1) & ~forced),
         ("frame", (at_x | at_y) & (line | (F.col("area_px") < F.greatest(F.lit(260.0), 0.00045 * pixels)) | ((aspect > 5) & (fill < 0.55))) & ~forced & (low < p.min_score + 14)),
         ("frame_small", at_y & (F.col("area_px") < F.greatest(F.lit(1500.0), 0.003 * pixels))),
+        ("corner", (at_x & corner_y) & (F.col("area_px") < F.greatest(F.lit(650.0), 0.0012 * pixels))),
         ("target", at_bottom_centre & ~forced & (F.col("dark_local") < p.min_score + 2) & (F.col("y") + F.col("h") < F.col("height") - 3)),
-        ("seam", (F.col("seam_frac") >= p.seam_reject) & ((aspect >= 4) | ((F.col("h") > 0.45 * F.col("height")) & (F.col("w") < 0.08 * F.col("width")))) & (low < p.min_score + 3)),
+        ("seam", (F.col("seam_frac") >= p.seam_reject) & ((aspect >= p.seam_aspect) | ((F.col("h") > 0.45 * F.col("height")) & (F.col("w") < 0.08 * F.col("width")))) & (low < p.min_score + p.seam_margin)),
     )
 
 
-def detect(images: DataFrame, params: Params = Params(), passes: tuple = kernel_passes.USUAL, **columns: str) -> DataFrame:
+def detect(images: DataFrame, params: Params = Params(), passes: tuple = kernel_passes.USUAL, **columns) -> DataFrame:
     """Kept components of each image: box, polygon, area, scores, ``reason``. Duplicates of better boxes are dropped (D6, D14). ``passes``: what follows the base components; an empty tuple leaves those alone."""
     c = candidates(images, params, passes, **columns)
     kept = c.withColumn("reject", reject_reason(params)).filter("reject is null").drop("reject")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from litholake.kernels import borders, passes
+from litholake.kernels import borders, evidence, passes
 from litholake.kernels import raster as r
 from litholake.operators import detect
 
@@ -69,9 +69,9 @@ def test_polygon_and_fill_agree():
 
 def test_pitch_and_background():
     lab = r.to_lab(stripes(w=640, pitch=8))
-    mask = r.interior_mask(240, 640, 10, 0.0)
-    assert r.vertical_pitch(lab[:, :, 0], mask) == 8.0
-    assert np.abs(r.residual_lab(lab, mask)[mask][:, 0]).mean() < 2.0
+    mask = evidence.interior_mask(240, 640, 10, 0.0)
+    assert evidence.vertical_pitch(lab[:, :, 0], mask) == 8.0
+    assert np.abs(evidence.residual_lab(lab, mask)[mask][:, 0]).mean() < 2.0
 
 
 def test_stitch_weights_and_seams():
@@ -169,7 +169,52 @@ def test_wafer_circle_squares_and_pose():
 
 def test_reject_reasons_in_order(spark):
     base = {"height": 1000, "width": 1000, "x": 300, "y": 400, "w": 40, "h": 40, "area_px": 1200, "angle": 10.0, "score": 12.0, "seam_frac": 0.0, "error": None, "large": 0.0, "compact": 12.0, "chroma_large": 0.0, "dark_local": 0.0, "dark": 0.0, "chroma": 0.0, "forced": 0.0}
-    cases = {None: {}, "unreadable": {"error": "x"}, "small": {"area_px": 5}, "large": {"area_px": 300_000, "w": 600, "h": 600}, "weak": {"score": 8.0}, "line": {"w": 4, "h": 60, "area_px": 200, "angle": 90.0}, "sparse": {"w": 90, "h": 90, "score": 9.0, "compact": 9.0}, "frame": {"x": 10, "w": 20, "h": 20, "area_px": 300}, "frame_small": {"y": 20, "score": 30.0}, "target": {"x": 480, "y": 870}, "seam": {"seam_frac": 0.9, "w": 20, "h": 90, "score": 9.0, "angle": 0.0, "compact": 12.0}}
+    cases = {None: {}, "unreadable": {"error": "x"}, "small": {"area_px": 5}, "large": {"area_px": 300_000, "w": 600, "h": 600}, "weak": {"score": 8.0}, "line": {"w": 4, "h": 60, "area_px": 200, "angle": 90.0}, "sparse": {"w": 90, "h": 90, "score": 9.0, "compact": 9.0}, "frame": {"x": 10, "w": 20, "h": 20, "area_px": 300}, "frame_small": {"y": 20, "score": 30.0}, "corner": {"x": 20, "y": 100, "w": 30, "h": 30, "area_px": 500, "score": 30.0}, "target": {"x": 480, "y": 870}, "seam": {"seam_frac": 0.9, "w": 20, "h": 150, "score": 9.0, "angle": 0.0, "compact": 12.0}}
     schema = ", ".join(f"{k} {'string' if k in ('want', 'error') else 'int' if k in ('height', 'width', 'x', 'y', 'w', 'h', 'area_px') else 'double'}" for k in ("want", *base))
     df = spark.createDataFrame([(want, *(base | c).values()) for want, c in cases.items()], schema)
     assert [(r.want, r.got) for r in df.select("want", detect.reject_reason().alias("got")).collect()] == [(k, k) for k in cases]
+
+
+def test_seam_rule_at_its_limits(spark):
+    base = {"height": 1000, "width": 1000, "x": 300, "y": 400, "w": 20, "h": 140, "area_px": 2000, "angle": 0.0, "score": 10.0, "seam_frac": 0.55, "error": None, "large": 0.0, "compact": 12.0, "chroma_large": 0.0, "dark_local": 0.0, "dark": 0.0, "chroma": 0.0, "forced": 0.0}
+    cases = [("seam", {}), (None, {"seam_frac": 0.54}), (None, {"h": 139}), (None, {"score": 10.05}), ("seam", {"score": 10.04})]
+    schema = ", ".join(f"{k} {'string' if k in ('want', 'error') else 'int' if k in ('height', 'width', 'x', 'y', 'w', 'h', 'area_px') else 'double'}" for k in ("want", *base))
+    df = spark.createDataFrame([(want, *(base | c).values()) for want, c in cases], schema)
+    assert [r.got for r in df.select(detect.reject_reason().alias("got")).collect()] == [w for w, _ in cases]
+
+
+def test_colours_force_scores_and_the_frame_is_left_out():
+    base = np.zeros((300, 400, 3), np.uint8)
+    base[:] = (150, 90, 80)
+    blob, big, frame = base.copy(), base.copy(), base.copy()
+    blob[140:160, 180:204] = (40, 160, 200)
+    big[60:240, 80:330] = (40, 190, 220)
+    frame[:20] = frame[:, :20] = (40, 190, 220)
+    inner = evidence.interior_mask(300, 400, 10, 0.0)
+    score = lambda img, **k: evidence.defect_score(img, inner, **k)[0]
+    assert score(blob)[150, 190] >= 11.5 and evidence.blobs(blob).sum() > 300 and not evidence.stain(blob).any()
+    assert evidence.stain(big)[150, 200] and score(big)[150, 200] >= 13.0
+    assert not evidence.interior_mask(300, 400, 10, 0.0, frame)[24, 200] and evidence.interior_mask(300, 400, 10, 0.0, frame)[40, 200]
+    line = base.copy()
+    line[20:280, 200:204] = (40, 160, 200)
+    assert not evidence.blobs(line).any()
+
+
+def test_template_promotes_and_outlines_weaken(spark):
+    img = stripes()
+    lab = r.to_lab(img)
+    odd = img.copy()
+    odd[110:116, 120:126] = np.clip(odd[110:116, 120:126].astype(int) + 22, 0, 255)
+    mask = evidence.interior_mask(*img.shape[:2], 10, 0.0)
+    template = r.median_template([lab, lab, lab])
+    plain, _ = evidence.defect_score(odd, mask)
+    more, _ = evidence.defect_score(odd, mask, template)
+    assert more[113, 123] >= plain[113, 123] and more.max() <= max(18.0, plain.max())
+    design = np.ones(img.shape[:2], bool)
+    design[:, 123:] = False
+    cut, _ = evidence.defect_score(odd, mask, template, design)
+    assert (cut[:, 123:] == 0).all() and (cut <= more + 1e-6).all() and cut[113, 122] < more[113, 122] + 1e-6
+    frame = spark.createDataFrame([(f"i{k}", bytearray(r.encode_png(img))) for k in range(3)], "image string, content binary")
+    got = detect.template_of(frame)
+    assert np.allclose(got[0], template[0]) and detect.template_of(frame.limit(0)) is None
+    assert detect.detect(frame, detect.Params(border_px=10), template=got).count() == 0
