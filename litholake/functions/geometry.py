@@ -194,3 +194,11 @@ def intersect_lines(a1: Column, b1: Column, a2: Column, b2: Column) -> tuple[Col
     det = F.lit(1.0) - a1 * a2
     x = F.when(F.abs(det) > 1e-12, (a2 * b1 + b2) / det)
     return x, a1 * x + b1
+
+
+def tile_inside(x: Column, y: Column, w: Column, h: Column, cx: Column, cy: Column, radius: Column, share: float = 0.98) -> Column:
+    """Whether all corners of a tile (top left corner and size) lie within ``share`` of the wafer's radius. P6. Null where
+    anything is unknown."""
+    far = F.greatest(*[F.hypot(x + i * w - cx, y + j * h - cy) for i in (0, 1) for j in (0, 1)])
+    known = x.isNotNull() & y.isNotNull() & w.isNotNull() & h.isNotNull()
+    return F.when(known, far <= share * radius)

@@ -74,3 +74,16 @@ def subtracted_name(json_path: Column) -> Column:
     base = F.regexp_replace(stem(json_path), r"(_device)?_defects$", "")
     parent = F.regexp_extract(json_path, r"([^/\\]+)[/\\][^/\\]*$", 1)
     return F.concat(F.when(base == "", parent).otherwise(base), F.lit("_subtracted_defects.gds"))
+
+
+def minutes_text(seconds: Column) -> Column:
+    """A duration as ``m:ss``, from an hour on as ``h:mm:ss``; null and negative ones as ``--:--``. F13."""
+    s = F.bround(seconds).cast("long")
+    short = F.format_string("%d:%02d", F.floor(s / 60), s % 60)
+    long_ = F.format_string("%d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+    return F.when(s.isNull() | (s < 0), "--:--").when(s < 3600, short).otherwise(long_)
+
+
+def quoted(word: Column) -> Column:
+    """A word of a command line, in quotes where it is empty or holds white space. F13."""
+    return F.when((word == "") | word.rlike(r"\s"), F.concat(F.lit('"'), word, F.lit('"'))).otherwise(word)

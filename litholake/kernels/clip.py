@@ -95,3 +95,35 @@ def offset_convex(p: Poly, margin: float) -> Poly:
         else:
             out += [tuple(np.add(b, margin * nu)), tuple(np.add(b, margin * nv))]
     return out
+
+
+def offset(p: Poly, margin: float, mitre: float = 2.0) -> list[Poly]:
+    """Any simple polygon pushed out by ``margin``, as trapezoids: the union of the polygon, the strips along its edges and
+    the mitres of its convex corners (cut where longer than ``mitre`` margins). Reflex corners need none, their strips
+    overlap. A polygon without area, or no margin, comes out as it is. G4."""
+    ring = [q for i, q in enumerate(p) if q != p[i - 1]]
+    s = sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
+    if s == 0 or margin <= 0 or len(ring) < 3:
+        return [list(p)]
+    ring = ring if s > 0 else ring[::-1]
+    n = len(ring)
+    normals = []
+    for a, b in zip(ring, ring[1:] + ring[:1], strict=True):
+        d = np.subtract(b, a)
+        normals.append(np.array([d[1], -d[0]]) / np.hypot(*d) * margin)
+    parts: list[Poly] = [ring]
+    for i in range(n):
+        a, b, u, v = ring[i], ring[(i + 1) % n], normals[i], normals[(i + 1) % n]
+        parts.append([a, tuple(np.add(a, u)), tuple(np.add(b, u)), b])
+        if u[0] * v[1] - u[1] * v[0] > 1e-12 * margin**2:  # the outline turns left: an open wedge
+            k = 1 + float(u @ v) / margin**2
+            tip = [tuple(np.add(b, (u + v) / k))] if k > 2 / mitre**2 else []
+            parts.append([b, tuple(np.add(b, u)), *tip, tuple(np.add(b, v))])
+    return boolean(parts, [], "or")
+
+
+def repaired(p: Poly) -> list[Poly]:
+    """A polygon made valid: repeated vertices dropped, crossings resolved by the even-odd rule, as trapezoids; nothing for
+    an outline without area. G5."""
+    ring = [q for i, q in enumerate(p) if q != p[i - 1] and None not in q]
+    return boolean([ring], [], "or") if len(ring) >= 3 else []

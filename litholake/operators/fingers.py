@@ -67,3 +67,21 @@ def hanging_pieces(boxes: DataFrame, cells: DataFrame, target_layer: int, span:
     removed = members.join(verdict.filter("not keep").select("cell_row", "cell_col", "component"), ["cell_row", "cell_col", "component"]).select("element_index")
     report = verdict.groupBy("cell_row", "cell_col").agg(F.sum("parts").alias("target_boundaries"), F.count("*").alias("components"), F.sum(F.when(~F.col("keep"), F.col("parts")).otherwise(0)).alias("removed"), F.count_if("keep").alias("kept_components"), (~F.max("spans")).alias("fallback_used"))
     return removed, report
+
+
+def finger_or_border(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """``boxes`` (x0, y0, x1, y1) with ``kind``: ``finger`` where narrower than 1.5 times the group's median width and higher
+    than wide, else ``border``; null boxes get null. P9."""
+    w = F.col("x1") - F.col("x0")
+    usual = boxes.groupBy(*keys).agg(F.median(w).alias("__usual"))
+    kind = F.when(w.isNull() | (F.col("y1") - F.col("y0")).isNull(), None).when((w < 1.5 * F.col("__usual")) & (F.col("y1") - F.col("y0") > w), "finger").otherwise("border")
+    return boxes.join(usual, keys, "left").withColumn("kind", kind).drop("__usual")
+
+
+def cleanup_json(removed: DataFrame, report: DataFrame) -> DataFrame:
+    """The clean-up report as one JSON text for each cell: its counts, and the removed elements in order. S19. A row per
+    cell, so nothing grows beyond what one cell holds; null cells are reported under null."""
+    gone = removed.groupBy("cell_row", "cell_col").agg(F.sort_array(F.collect_list("element_index")).alias("removed_elements"))
+    on = ["cell_row", "cell_col"]
+    j = report.join(gone, on, "left").withColumn("removed_elements", F.coalesce("removed_elements", F.array().cast("array<long>")))
+    return j.select(*on, F.to_json(F.struct(*[c for c in j.columns])).alias("report"))

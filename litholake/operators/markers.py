@@ -1,4 +1,4 @@
-"""Marker lattices and registration.
+"""Marker lattices and registration.
 
 Candidate squares, lattice hypotheses and their acceptance are relational; only the one-to-one matching of a hypothesis
 is sequential (twelve points). Geometry of the marker: 3 columns x 4 rows of equal squares."""
@@ -81,8 +81,8 @@ def match_lattice(squares: DataFrame, hypotheses: DataFrame, tolerance: float, l
 
 
 def rejection(expected_pitch: float) -> Column:
-    """Why a fitted lattice (matches, scale, rmsd, size_ratio, size_cv) is not accepted; empty means valid. The caller
-    computes these columns. P13."""
+    """Why a fitted lattice (matches, scale, rmsd, size_ratio, size_cv) is not accepted; empty means valid. The
+    columns are those of ``candidate_metrics``. P13."""
     return reasons(
         ("fewer than 10 of 12 squares", F.col("matches") < 10),
         ("error above 10 % of the pitch", F.col("rmsd") > 0.10 * F.col("scale")),
@@ -114,3 +114,25 @@ def first_source(*sources: tuple[str, Column]) -> tuple[Column, Column]:
     for name, c in reversed(sources):
         label = F.when(c.isNotNull(), name).otherwise(label)
     return value, label
+
+
+def candidate_metrics(fits: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fits (keys, scale, angle, rmsd) with the measures of their squares (keys, side, error): ``size_ratio`` (median side to
+    pitch), ``size_cv`` (spread of sides to their mean), ``error_ratio`` (rms error to pitch), ``asymmetry`` (largest to median
+    error) and ``turn`` (angle in degrees, modulo 180, from -90 on). A24. A fit without squares gets nulls."""
+    m = members.groupBy(*keys).agg(F.median("side").alias("__s"), F.stddev_pop("side").alias("__sd"), F.avg("side").alias("__m"), F.max("error").alias("__e"), F.median("error").alias("__me"))
+    turn = F.pmod(F.degrees("angle") + 90, F.lit(180.0)) - 90
+    return fits.join(m, list(keys), "left").withColumns({"size_ratio": F.try_divide(F.col("__s"), F.col("scale")), "size_cv": F.try_divide(F.col("__sd"), F.col("__m")), "error_ratio": F.try_divide(F.col("rmsd"), F.col("scale")), "asymmetry": F.try_divide(F.col("__e"), F.col("__me")), "turn": turn}).drop("__s", "__sd", "__m", "__e", "__me")
+
+
+def side_of_rail(pixels: DataFrame, anchors: DataFrame, key: str, pitch_share: float = 1.0) -> DataFrame:
+    """``key, side``: on which side of a marker its rail lies, by the mask's pixels (key, x, y) about the anchor (key, ax, ay,
+    angle, pitch) in the marker's own frame. L5.
+
+    Pixels within ``pitch_share`` pitches of the marker's axis are no evidence. Left and right are told by the majority;
+    equal counts, or none, give null."""
+    j = pixels.join(anchors, key)
+    u = (F.col("x") - F.col("ax")) * F.cos("angle") + (F.col("y") - F.col("ay")) * F.sin("angle")
+    n = j.groupBy(key).agg(F.count_if(u < -pitch_share * F.col("pitch")).alias("l"), F.count_if(u > pitch_share * F.col("pitch")).alias("r"))
+    side = F.when(F.col("l") > F.col("r"), "left").when(F.col("r") > F.col("l"), "right")
+    return anchors.select(key).distinct().join(n, key, "left").select(key, side.alias("side"))

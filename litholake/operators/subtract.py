@@ -152,7 +152,7 @@ def shunts(segments: DataFrame, pitch: float, width: float, tolerance: float = 5
 def removal_report(original: DataFrame, final: DataFrame, devices: DataFrame, bucket: float = 1000.0) -> DataFrame:
     """Loss per layer, device and in all (A7): areas of the original and the final polygons (layer, id, points) within
     each device's window (device, points)."""
-    win = devices.select(F.col("device"), F.monotonically_increasing_id().alias("id"), "points")
+    win = materialise(devices.select(F.col("device"), F.monotonically_increasing_id().alias("id"), "points"), "windows")  # numbered once
     layers = original.select("layer").distinct()
     names = win.select("id", "device")
     w = win.drop("device").join(F.broadcast(layers))  # layers of a design are few

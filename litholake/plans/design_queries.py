@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litholake.functions.geometry import bounds, signed_area
 from litholake.operators import fingers, subtract
+from litholake.plans import problems_core
 from litholake.plans.reference_queries import bound
 from litholake.session import table
 from litholake.sources import annotations
@@ -112,3 +113,6 @@ x as (select wafer_id, cell_row, cell_col, unnest(case when len(defects) > 0 the
 k as (select *, case when d is null then null when contains(lower(coalesce(d.source, '')), 'manual') then 'manual' when contains(lower(coalesce(d.source, '')), 'algorithmic') or contains(lower(coalesce(d.source, '')), 'automatic') or contains(lower(coalesce(d.source, '')), 'detector') then 'automatic' else 'manual' end kind from x)
 select wafer_id, count(distinct (cell_row, cell_col)) as cells, count(*) filter (where kind = 'automatic') as automatic, count(*) filter (where kind = 'manual') as manual, min(d.center_x_um) as x0, min(d.center_y_um) as y0, max(d.center_x_um) as x1, max(d.center_y_um) as y1 from k group by 1""",
 }
+ORACLES["q56_annotation_kinds"] = f"""{problems_core._P2},
+k as (select e, e->'polygon_gds' pg, e->'corners_gds' cg, e->'center_x_um' a, e->'center_y_um' b, e->'width_um' c, e->'height_um' d from sl)
+select case when json_array_length(pg) >= 3 then 'exact' when json_array_length(cg) >= 3 then 'bbox' when a is not null and b is not null and c::double > 0 and d::double > 0 then 'legacy' else 'none' end as kind, count(*) as n from k group by 1"""

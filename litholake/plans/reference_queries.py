@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litholake.functions import fits, geometry, robust, strings
-from litholake.operators import graph, greedy, joins, rollup, sequence
+from litholake.operators import catalogue, fingers, graph, greedy, joins, rollup, sequence
 from litholake.session import table
 
 QUERIES: dict = {}
@@ -221,7 +221,7 @@ t as (select record_id, p, k from (select record_id, 0 p, {STEM.format("cell_ste
 m as (select record_id, p, entry_id, row_number() over (partition by record_id order by p) n from t join r using (k))
 select c.record_id, m.p::int as priority, m.entry_id from c left join m on m.record_id = c.record_id and n = 1""")
 def q15_alias_precedence(spark, sf_dir):
-    """J3, J5, J6, S13"""
+    """J5, J6, S13"""
     c = table(spark, sf_dir, "cell_records", "record_id", "cell_stem", "annotation_name", "image_path").dropDuplicates(["record_id"])
     e = table(spark, sf_dir, "device_entries", "entry_id", "image_path").filter("image_path is not null").dropDuplicates(["entry_id"]).withColumn("k", strings.device_key(F.col("image_path")))
     keys = [strings.device_key(F.col(x)) for x in ("cell_stem", "annotation_name", "image_path")]
@@ -269,9 +269,15 @@ def boxes(spark, sf_dir):
     return c.select("component_id", "wafer_id", "scan_no", "cell_row", "cell_col", b(0).alias("x0"), b(1).alias("y0"), (b(0) + b(2)).alias("x1"), (b(1) + b(3)).alias("y1"), "score", "area_px")
 
 
-@query()
+@query(f"""
+with recursive {BOXES},
+t as (select a.component_id a, c.component_id z from b a join b c on a.wafer_id = c.wafer_id and a.scan_no = c.scan_no and a.cell_row = c.cell_row and a.cell_col = c.cell_col
+ and a.component_id <> c.component_id and a.x0 <= c.x1 and c.x0 <= a.x1 and a.y0 <= c.y1 and c.y0 <= a.y1),
+reach as (select component_id id, component_id root from b union select t.z, reach.root from reach join t on t.a = reach.id),
+comp as (select id, min(root) component from reach group by 1)
+select component, count(*) as members, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from b join comp on id = component_id group by 1""")
 def q19_touching_components(spark, sf_dir):
-    """Components of touching boxes of one crop, their size and bounds. Tested against a brute-force union-find."""
+    """Components of touching boxes of one crop, their size and bounds."""
     b = boxes(spark, sf_dir)
     e = graph.touching_boxes(b, "component_id", 256.0, ["wafer_id", "scan_no", "cell_row", "cell_col"])
     c = graph.connected_components(b, e, "component_id", "a", "b")
@@ -619,3 +625,82 @@ def q50_consecutive_duplicates(spark, sf_dir):
     """W18"""
     d = table(spark, sf_dir, "documents", "wafer_id", "doc_id", "n_chars").filter("wafer_id is not null")
     return sequence.drop_consecutive_duplicates(d, ["wafer_id"], "doc_id", ["n_chars"]).groupBy("wafer_id").agg(F.count("*").alias("runs"))
+
+
+@query(f"""
+with c as (select distinct on (record_id) record_id, cell_stem, annotation_name from cell_records),
+e as (select distinct on (entry_id) entry_id, image_path from device_entries),
+a as (select distinct record_id, k from (select record_id, {STEM.format("cell_stem")} k from c union all select record_id, {STEM.format("annotation_name")} from c) where k is not null),
+j as (select distinct record_id, entry_id from a join (select entry_id, {STEM.format("image_path")} k from e where image_path is not null) using (k))
+select record_id, count(*) as entries from j group by 1""")
+def q58_alias_sets(spark, sf_dir):
+    """J3"""
+    c = table(spark, sf_dir, "cell_records", "record_id", "cell_stem", "annotation_name").dropDuplicates(["record_id"])
+    e = table(spark, sf_dir, "device_entries", "entry_id", "image_path").filter("image_path is not null").dropDuplicates(["entry_id"])
+    j = joins.join_on_aliases(c, "record_id", [strings.device_key(F.col(x)) for x in ("cell_stem", "annotation_name")], e, "entry_id", strings.device_key(F.col("image_path")))
+    return j.groupBy("record_id").agg(F.count("*").alias("entries"))
+
+
+@query(f"""
+with v as (select component_id, wafer_id, score from {DEDUPED} where wafer_id is not null and score is not null and not isnan(score)),
+m as (select wafer_id, count(*) n, median(score) c from v group by 1),
+d as (select wafer_id, any_value(n) n, any_value(c) c, greatest(1.4826 * median(abs(score - c)), 1e-9) s from v join m using (wafer_id) group by 1)
+select wafer_id, count(*) as components, count(*) filter (where n >= 8 and (score - c) / s > 3) as outliers from v join d using (wafer_id) group by 1""")
+def q59_guarded_outliers(spark, sf_dir):
+    """W10, A2"""
+    c = components(spark, sf_dir, "wafer_id", "score").filter("wafer_id is not null and score is not null and not isnan(score)")
+    z = sequence.guarded_z(c, ["wafer_id"], "score", 8)
+    return z.groupBy("wafer_id").agg(F.count("*").alias("components"), F.count_if(F.col("z") > 3).alias("outliers"))
+
+
+@query("""
+with e as (select distinct on (entry_id) entry_id, wafer_id, cell_row, cell_col, scan_no, defects from device_entries),
+a as (select lower(trim(concat(wafer_id, '_', scan_no, '_', cell_row, '-', cell_col))) k, len(arg_max(case when defects is null then [] else defects end, entry_id)) n from e where wafer_id is not null and scan_no is not null and cell_row is not null and cell_col is not null group by 1),
+c as (select distinct on (record_id) record_id, wafer_id, cell_row, cell_col, lower(trim(concat(wafer_id, '_', scan_no, '_', cell_row, '-', cell_col))) k, (wafer_id is null or scan_no is null or cell_row is null or cell_col is null) lost from cell_records),
+j as (select record_id, wafer_id, cell_row, cell_col, coalesce(a.n, 0) n from c left join a on a.k = c.k and not lost)
+select record_id, wafer_id, (row_number() over (partition by wafer_id order by cell_row nulls last, cell_col nulls last, record_id))::int as place, n::int as defects from j""")
+def q60_device_catalogue(spark, sf_dir):
+    """Crops with the number of their annotated defects, in device order within each wafer"""
+    key = F.concat("wafer_id", F.lit("_"), "scan_no", F.lit("_"), "cell_row", F.lit("-"), "cell_col").alias("key")
+    images = table(spark, sf_dir, "cell_records", "record_id", "wafer_id", "scan_no", "cell_row", "cell_col").dropDuplicates(["record_id"]).select("record_id", "wafer_id", "cell_row", "cell_col", key)
+    notes = table(spark, sf_dir, "device_entries", "entry_id", "wafer_id", "scan_no", "cell_row", "cell_col", "defects").dropDuplicates(["entry_id"]).select("entry_id", key, F.coalesce(F.transform("defects", lambda d: d["defect_type"]), F.array().cast("array<string>")).alias("defects"))
+    j = catalogue.with_annotations(images, "key", notes, "defects", "entry_id")
+    w = Window.partitionBy("wafer_id").orderBy(*catalogue.device_order(key="record_id"))
+    return j.select("record_id", "wafer_id", F.row_number().over(w).alias("place"), F.size("defects").alias("defects"))
+
+
+@query("""
+with w as (select wafer_id, row_number() over (order by registered_at nulls last, wafer_id) - 1 p from (select distinct on (wafer_id) wafer_id, registered_at from wafers where wafer_id is not null order by wafer_id, registered_at nulls last)),
+d as (select lower(trim(wafer_id)) n, min(p) p from w where p < 20 group by 1)
+select c.wafer_id, d.p::int as position, count(*) as crops from (select distinct on (record_id) record_id, wafer_id from cell_records where wafer_id is not null) c left join d on d.n = lower(trim(c.wafer_id)) group by 1, 2""")
+def q61_declared_order(spark, sf_dir):
+    """O3: crops per wafer, with the wafer's place in a declared list (the first twenty that were registered)"""
+    once = table(spark, sf_dir, "wafers", "wafer_id", "registered_at").filter("wafer_id is not null").groupBy("wafer_id").agg(F.min("registered_at").alias("r"))
+    declared = [r[0] for r in once.orderBy(F.col("r").asc_nulls_last(), "wafer_id").limit(20).collect()]
+    c = table(spark, sf_dir, "cell_records", "record_id", "wafer_id").filter("wafer_id is not null").dropDuplicates(["record_id"])
+    return catalogue.in_declared_order(c, "wafer_id", declared).groupBy("wafer_id", "position").agg(F.count("*").alias("crops"))
+
+
+@query("""
+select lower(trim(wafer_id)) as wafer, count(*) as files, sum(size_bytes)::bigint as bytes,
+ case when sum(size_bytes) is null then '--:--' when sum(size_bytes) // 1000000 < 3600 then concat(sum(size_bytes) // 1000000 // 60, ':', lpad((sum(size_bytes) // 1000000 % 60)::varchar, 2, '0'))
+ else concat(sum(size_bytes) // 1000000 // 3600, ':', lpad((sum(size_bytes) // 1000000 // 60 % 60)::varchar, 2, '0'), ':', lpad((sum(size_bytes) // 1000000 % 60)::varchar, 2, '0')) end as eta
+from (select distinct on (file_id) * from crop_files) where wafer_id is not null group by 1""")
+def q62_formatted_time(spark, sf_dir):
+    """time to copy each wafer's files at a megabyte a second"""
+    f = table(spark, sf_dir, "crop_files", "file_id", "wafer_id", "size_bytes").filter("wafer_id is not null").dropDuplicates(["file_id"])
+    g = f.groupBy(F.lower(F.trim("wafer_id")).alias("wafer")).agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
+    return g.withColumn("eta", strings.minutes_text(F.floor(F.col("bytes") / 1000000)))
+
+
+@query("""
+with o as (select distinct on (element_index) element_index, layer, list_filter(points, lambda p: p is not null) p from boundaries where layer is not null and len(points) >= 3 order by element_index),
+x as (select element_index, layer, list_max(list_transform(p, lambda q: q.x)) - list_min(list_transform(p, lambda q: q.x)) w, list_max(list_transform(p, lambda q: q.y)) - list_min(list_transform(p, lambda q: q.y)) h from o where len(p) > 0),
+m as (select layer, median(w) u from x group by 1)
+select layer, case when w < 1.5 * u and h > w then 'finger' else 'border' end as kind, count(*) as boundaries from x join m using (layer) group by 1, 2""")
+def q63_fingers_and_borders(spark, sf_dir):
+    """P9"""
+    b = table(spark, sf_dir, "boundaries", "element_index", "layer", "points").filter("layer is not null and size(points) >= 3").dropDuplicates(["element_index"])
+    box = geometry.bounds(F.filter("points", lambda p: p.isNotNull()))
+    d = b.withColumn("b", box).select("element_index", "layer", "b.x0", "b.y0", "b.x1", "b.y1").filter("x0 is not null")
+    return fingers.finger_or_border(d, ["layer"]).groupBy("layer", "kind").agg(F.count("*").alias("boundaries"))
