@@ -28,6 +28,7 @@ unknown character, is never learned as clean text, and stays in the repaired tex
 from __future__ import annotations
 
 import codecs
+import functools
 import math
 import re
 from collections.abc import Iterator, Sequence
@@ -106,13 +107,29 @@ def _utf8_match(m: re.Match) -> str:
         return s
 
 
-def undo(text: str, step: tuple[str, str]) -> str | None:
-    """``text`` with one step undone; None where the step can't have happened or changes nothing."""
+def stored_as(text: str, reader: str) -> str | bytes | None:
+    """A text as its reader had it before: one character for each byte (single-byte readers), or its bytes; None where it
+    can't have come from this reader."""
+    if reader in UNREAD:
+        return text.translate(UNREAD[reader])
+    if not any("\u2e80" <= c for c in text):  # text read as an East Asian encoding holds wide characters
+        return None
+    try:
+        return text.encode(reader, "litholake_lost" if LOST in text else "strict")  # lost bytes stay lost, no others
+    except UnicodeError:
+        return None
+
+
+def undo(text: str, step: tuple[str, str], seen: str | bytes | None = None) -> str | None:
+    """``text`` with one step undone; None where the step can't have happened or changes nothing. ``seen``: what
+    ``stored_as`` gives, if known."""
     r, w = step
     if w == "lost":
         return text if LOST in text else None
+    seen = stored_as(text, r) if seen is None else seen
+    if seen is None:
+        return None
     if w == "utf_8" and r in UNREAD:  # sequence by sequence, so that text beside garbled sequences stays
-        seen = text.translate(UNREAD[r])
         parts, at = [], 0
         for m in UTF8.finditer(seen):
             fixed = _utf8_match(m)
@@ -122,16 +139,13 @@ def undo(text: str, step: tuple[str, str]) -> str | None:
         return "".join([*parts, text[at:]]) if parts else None
     try:
         if r in UNREAD:
-            seen = text.translate(UNREAD[r])
             out = seen.translate(_WRITE[w]) if w in READ and seen.isascii() is False and max(seen) < "\u0100" else None if w in READ else seen.encode("latin-1").decode(w)
-        elif not any("\u2e80" <= c for c in text):  # text read as an East Asian encoding holds wide characters
-            return None
-        elif LOST in text:  # bytes were lost in reading: their characters stay lost, no others
-            out = text.encode(r, "litholake_lost").decode(w, "replace")
+        elif LOST in text:
+            out = seen.decode(w, "replace")
             if out.count(LOST) > 2 * text.count(LOST):
                 return None
         else:
-            out = text.encode(r).decode(w)
+            out = seen.decode(w)
     except UnicodeError:
         return None
     return None if out == text else out
@@ -216,12 +230,16 @@ def readings(text: str) -> Iterator[tuple[tuple[str, str], str]]:
     beyond = {c for c in text if c > "\x7f"}
     if all(c.isspace() or c in "\ufeff\u200b" for c in beyond):  # odd spaces alone tell nothing
         return
+    wide = any("\u2e80" <= c for c in beyond)
     for reader, steps in BY_READER.items():
         single = reader in UNREAD
-        whole = not single or beyond <= CHARS[reader]
-        sequences = not single or not (beyond.isdisjoint(LEADS[reader]) or beyond.isdisjoint(FOLLOWS[reader]))
+        whole = beyond <= CHARS[reader] if single else wide
+        sequences = not (beyond.isdisjoint(LEADS[reader]) or beyond.isdisjoint(FOLLOWS[reader])) if single else wide
+        seen = stored_as(text, reader) if whole or sequences else None
+        if seen is None:
+            continue
         for step in steps:
-            if (sequences if step[1] == "utf_8" else whole) and (fixed := undo(text, step)):
+            if (sequences if step[1] == "utf_8" else whole) and (fixed := undo(text, step, seen)):
                 yield step, fixed
 
 
@@ -255,9 +273,10 @@ def score_islands(islands: Sequence[str], model: Bigrams) -> list[dict[tuple, fl
         front, best = [], {}
         for ((k, fixed), (size, every, follow)), v in zip(found.items(), got.tolist(), strict=True):
             ratio = v - base[k]
+            mine = out[k]
             for chain in every:
                 if ratio > WORST or _piecewise(chain):
-                    out[k][chain] = max(out[k].get(chain, WORST), ratio)
+                    mine[chain] = max(mine.get(chain, WORST), ratio)
             if follow and len(fixed) < size and not fixed.isascii() and fixed not in seen[k]:
                 seen[k].add(fixed)
                 front.append((k, fixed, follow))
@@ -268,6 +287,7 @@ def score_islands(islands: Sequence[str], model: Bigrams) -> list[dict[tuple, fl
     return out
 
 
+@functools.cache
 def _piecewise(chain: tuple) -> bool:
     return all(w == "lost" or (w == "utf_8" and r in UNREAD) for r, w in chain)
 
@@ -551,7 +571,8 @@ def judge_texts(df: DataFrame, id_col: str = "doc_id", text_cols: Sequence[str]
     docs = _texts(df, id_col, text_cols, source_col)
     cut = materialise(cut_texts(docs), "cut")
     counts = materialise(count_pairs(docs, "text"), "pairs")
-    segs = materialise(spread(segments(cut).select(*SEG, "islands").distinct()), "segments")
+    segs = segments(cut).select(*SEG, "islands").distinct()
+    segs = materialise(segs.repartitionByRange(spark.sparkContext.defaultParallelism, "islands"), "segments")  # segments that begin alike share their islands
     kinds = materialise(segments(cut).groupBy("key", *SEG).agg(F.count("*").alias("n")), "kinds")
     sizes = materialise(cut.groupBy("key").agg(F.sum("n").alias("n")), "sizes")
     now, before, odds, ev, held = counts, None, None, None, None
