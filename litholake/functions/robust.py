@@ -42,9 +42,10 @@ def _same_keys(keys: Sequence[str]) -> Column:
     return cond
 
 
-def robust_z(df: DataFrame, keys: Sequence[str], value: str, floor: float = 1e-9, out: str = "z") -> DataFrame:
-    """Adds ``(value - median) / max(1.4826 MAD, floor)`` of the row's group; null where the value is not finite. A2."""
-    stats = center_spread(df, keys, value, floor).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("center").alias("__c"), F.col("spread").alias("__s"))
+def robust_z(df: DataFrame, keys: Sequence[str], value: str, floor: float = 1e-9, out: str = "z", stats: DataFrame | None = None) -> DataFrame:
+    """Adds ``(value - median) / max(1.4826 MAD, floor)`` of the row's group; null where the value is not finite. A2.
+    ``stats``: the result of ``center_spread`` where it is known already."""
+    stats = (center_spread(df, keys, value, floor) if stats is None else stats).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("center").alias("__c"), F.col("spread").alias("__s"))
     joined = df.join(stats, _same_keys(keys), "left")
     return joined.withColumn(out, F.try_divide(finite(F.col(value)) - F.col("__c"), F.col("__s"))).drop("__c", "__s", *[f"__k{i}" for i in range(len(keys))])
 

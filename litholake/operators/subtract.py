@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -149,6 +149,39 @@ def shunts(segments: DataFrame, pitch: float, width: float, tolerance: float = 5
     return best.select("id", "end", F.least("mx", "b.ox").alias("sx0"), (F.col("y") - width / 2).alias("sy0"), F.greatest("mx", "b.ox").alias("sx1"), (F.col("y") + width / 2).alias("sy1"))
 
 
+def subtract_protected(design: DataFrame, defects: DataFrame, layer: int, pitch: float, width: float, tolerance: float = 5.0, bucket: float = 1000.0) -> DataFrame:
+    """The layer (id, points) with its fingers cut by the defects (id, points) and bridged, its borders left whole: ``kind``
+    (``border``, ``finger``, ``shunt``), ``id, piece_no, points``. G2, P9, J15.
+
+    The cut pieces of a finger are put together along its height; each end that a cut has made is bridged to the nearest
+    finger at that height, and what of the bridge lies within a defect is cut off. Fingers that no defect touches come
+    out as they are; degenerate outlines count as borders. Empty defects leave the layer unchanged."""
+    from litholake.functions.geometry import bounds
+    from litholake.operators.fingers import finger_or_border
+
+    mine = design.filter(F.col("layer") == layer).select("layer", F.col("id").cast("long").alias("id"), "points").withColumn("b", bounds(F.col("points")))
+    sorted_out = finger_or_border(mine.select("*", "b.x0", "b.y0", "b.x1", "b.y1"), ["layer"])
+    parts = materialise(sorted_out.withColumn("kind", F.coalesce("kind", F.lit("border"))).drop("b"), "kinds")
+    cutters = defects.select(F.lit(layer).alias("layer"), "id", "points")
+    fingers = parts.filter("kind = 'finger'")
+    pieces = materialise(cut(fingers.select("layer", "id", "points"), cutters, "not", bucket, ["layer"]), "pieces")
+    box = pieces.withColumn("b", bounds(F.col("points"))).select("id", "b.x0", "b.y0", "b.x1", "b.y1")
+    along = Window.partitionBy("id").orderBy("y0", "y1")  # the pieces of one finger
+    far = F.max("y1").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    runs = box.withColumn("fresh", F.coalesce((F.col("y0") > far + 1e-6).cast("int"), F.lit(0))).withColumn("run", F.sum("fresh").over(along))
+    segments = runs.groupBy("id", "run").agg(*[f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+    segments = materialise(segments.withColumn("seg", F.concat_ws("-", "id", "run")), "segments")
+    whole = fingers.select("id", F.col("y0").alias("oy0"), F.col("y1").alias("oy1"))
+    made = segments.join(whole, "id").select(F.col("seg").alias("id"), F.explode(F.array_compact(F.array(F.when(F.col("y0") > F.col("oy0") + 1e-6, "low"), F.when(F.col("y1") < F.col("oy1") - 1e-6, "high")))).alias("end"))
+    bridges = shunts(segments.select(F.col("seg").alias("id"), "x0", "y0", "x1", "y1"), pitch, width, tolerance).join(made, ["id", "end"])
+    pt = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    bridges = bridges.distinct().select(F.lit(layer).alias("layer"), F.xxhash64("id", "end").alias("id"), F.array(pt("sx0", "sy0"), pt("sx1", "sy0"), pt("sx1", "sy1"), pt("sx0", "sy1")).alias("points"))
+    clipped = cut(bridges, cutters, "not", bucket, ["layer"])
+    out = lambda df, kind: df.select(F.lit(kind).alias("kind"), "id", F.col("piece_no").cast("int").alias("piece_no"), "points")
+    borders = parts.filter("kind = 'border'").select("id", F.lit(0).alias("piece_no"), _doubles("points").alias("points"))
+    return out(borders, "border").unionByName(out(pieces, "finger")).unionByName(out(clipped, "shunt"))
+
+
 def removal_report(original: DataFrame, final: DataFrame, devices: DataFrame, bucket: float = 1000.0) -> DataFrame:
     """Loss per layer, device and in all (A7): areas of the original and the final polygons (layer, id, points) within
     each device's window (device, points)."""

@@ -116,3 +116,18 @@ select wafer_id, count(distinct (cell_row, cell_col)) as cells, count(*) filter
 ORACLES["q56_annotation_kinds"] = f"""{problems_core._P2},
 k as (select e, e->'polygon_gds' pg, e->'corners_gds' cg, e->'center_x_um' a, e->'center_y_um' b, e->'width_um' c, e->'height_um' d from sl)
 select case when json_array_length(pg) >= 3 then 'exact' when json_array_length(cg) >= 3 then 'bbox' when a is not null and b is not null and c::double > 0 and d::double > 0 then 'legacy' else 'none' end as kind, count(*) as n from k group by 1"""
+
+_CELL = "c as (select cell_row, cell_col, bbox_um.x0 * 10 wx0, bbox_um.y0 * 10 wy0, bbox_um.x1 * 10 wx1, bbox_um.y1 * 10 wy1 from cells)"
+ORACLES["q52_grid_pieces"] = f"""
+with recursive o as (select distinct on (element_index) element_index, layer, points p from boundaries order by element_index),
+g as (select element_index id, list_min(list_transform(p, lambda q: q.x)) x0, list_min(list_transform(p, lambda q: q.y)) y0, list_max(list_transform(p, lambda q: q.x)) x1, list_max(list_transform(p, lambda q: q.y)) y1 from o where layer = {GRID_LAYER} and len(p) >= 3),
+{_CELL},
+i as (select g.*, cell_row r, cell_col k, wx0, wx1 from g join c on (x0 + x1) / 2.0 >= wx0 and (x0 + x1) / 2.0 < wx1 and (y0 + y1) / 2.0 >= wy0 and (y0 + y1) / 2.0 < wy1 where x1 - x0 <= 108000 and y1 - y0 <= 108000),
+m as (select * from i where id in (select id from i group by 1 having count(*) = 1)),
+t as (select a.id a, b.id b from m a join m b on a.r = b.r and a.k = b.k and a.id <> b.id and a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1),
+reach as (select id, id root from m union select t.b, reach.root from reach join t on t.a = reach.id),
+comp as (select id, min(root) z from reach group by 1),
+s as (select r, k, z, min(x0) lo, max(x1) hi, any_value(wx0) wl, any_value(wx1) wr, count(*) parts from m join comp using (id) group by 1, 2, 3),
+v as (select *, lo <= wl + 0.2 * (wr - wl) and hi >= wr - 0.2 * (wr - wl) spans from s),
+w as (select *, spans or (not bool_or(spans) over (partition by r, k) and row_number() over (partition by r, k order by hi - lo desc, z) = 1) keep from v)
+select r as cell_row, k as cell_col, sum(parts)::bigint as target_boundaries, count(*) as components, coalesce(sum(case when not keep then parts end), 0)::bigint as removed, count(*) filter (where keep) as kept_components, not bool_or(spans) as fallback_used from w group by 1, 2"""

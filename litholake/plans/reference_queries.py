@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from litholake.functions import fits, geometry, robust, strings
 from litholake.operators import catalogue, fingers, graph, greedy, joins, rollup, sequence
-from litholake.session import table
+from litholake.session import materialise, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -53,8 +53,8 @@ from lineitem join s using (l_returnflag) group by 1""")
 def q01_robust_z_outliers(spark, sf_dir):
     """A1, A2"""
     li = table(spark, sf_dir, "lineitem", "l_returnflag", "l_extendedprice")
-    s = robust.center_spread(li, ["l_returnflag"], "l_extendedprice", 1e-9)
-    z = robust.robust_z(li, ["l_returnflag"], "l_extendedprice", 1e-9)
+    s = materialise(robust.center_spread(li, ["l_returnflag"], "l_extendedprice", 1e-9), "spread")  # a row for each group
+    z = robust.robust_z(li, ["l_returnflag"], "l_extendedprice", stats=s)
     n = z.groupBy("l_returnflag").agg(F.count_if(F.abs("z") > 2.5).alias("outliers"))
     return s.join(n, "l_returnflag").select("l_returnflag", "n", r4("center").alias("center"), r4("spread").alias("spread"), "outliers")
 

@@ -169,3 +169,18 @@ def test_all_wafers_and_outlines_are_cut(spark, data):
         assert [(p.x, p.y) for p in c.points] == [(k.crop_x0_dbu + k.dbu_per_px * p[0] * sx, k.crop_y1_dbu - k.dbu_per_px * p[1] * sy) for p in ring]
     lost = {(r.wafer_id, r.scan_no): r.removed for r in q.q54_removal_report(spark, data).filter("depth = 0").collect()}
     assert set(lost) == scans and sum(v > 0 for v in lost.values()) > 1
+
+
+def test_protected_layer_keeps_borders_and_bridges_fingers(spark):
+    box = lambda x0, y0, x1, y1: [{"x": float(x), "y": float(y)} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))]
+    shapes = [(k, 3, box(10 * k, 0, 10 * k + 2, 100)) for k in range(5)] + [(9, 3, box(-5, -20, 60, -5)), (8, 1, box(0, 0, 5, 5))]
+    design = spark.createDataFrame(shapes, "id long, layer int, points array<struct<x:double,y:double>>")
+    defects = spark.createDataFrame([(1, box(18, 40, 24, 60)), (2, box(-3, -12, 3, -8))], "id long, points array<struct<x:double,y:double>>")
+    got = subtract.subtract_protected(design, defects, 3, 10.0, 2.0).collect()
+    area = lambda rows: sum(abs(sum(a.x * b.y - a.y * b.x for a, b in zip(r.points, r.points[1:] + r.points[:1], strict=True))) / 2 for r in rows)
+    kinds = {k: [r for r in got if r.kind == k] for k in ("border", "finger", "shunt")}
+    assert [r.id for r in kinds["border"]] == [9] and area(kinds["border"]) == 65 * 15
+    assert abs(area(kinds["finger"]) - (5 * 200 - 40)) < 1e-6
+    assert kinds["shunt"] and all(p.y <= 40 or p.y >= 60 or not 18 < p.x < 24 for r in kinds["shunt"] for p in r.points)
+    whole = subtract.subtract_protected(design, defects.limit(0), 3, 10.0, 2.0).collect()
+    assert len(whole) == 6 and not [r for r in whole if r.kind == "shunt"]
