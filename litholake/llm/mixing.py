@@ -37,7 +37,7 @@ def _marginal(targets: DataFrame | None, name: str) -> DataFrame | None:
     return t.withColumn("want", F.col("want") / F.sum("want").over(Window.partitionBy(F.lit(0))))  # a hand-written table
 
 
-def rake(cells: DataFrame, per_job: int = 4, tolerance: float = 1e-6, most: int = 60) -> DataFrame:
+def rake(cells: DataFrame, per_job: int = 2, tolerance: float = 1e-6, most: int = 60) -> DataFrame:
     """``cells`` with ``weight``, by bounded iterative proportional fitting.
 
     Columns: ``source, lang, topic, tokens``; ``cap`` of the source; ``want_source``, ``want_lang``, ``want_topic``, the
