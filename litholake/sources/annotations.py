@@ -1,4 +1,4 @@
-"""Metadata and annotation texts, the records' frames, and the sinks."""
+"""Metadata and annotation texts, the records' frames, and the sinks."""
 
 from __future__ import annotations
 
