@@ -18,6 +18,7 @@ from litholake.kernels import passes as kernel_passes
 from litholake.kernels import evidence, raster
 from litholake.operators.greedy import suppress_duplicates
 from litholake.operators.rollup import first_reason
+from litholake.session import materialise
 
 
 @dataclass(frozen=True)
@@ -144,26 +145,43 @@ def reject_reason(p: Params = Params()) -> Column:
     )
 
 
-def detect(images: DataFrame, params: Params = Params(), passes: tuple = kernel_passes.USUAL, **columns) -> DataFrame:
-    """Kept components of each image: box, polygon, area, scores, ``reason``. Duplicates of better boxes are dropped (D6, D14). ``passes``: what follows the base components; an empty tuple leaves those alone."""
+def detect(images: DataFrame, params: Params = Params(), passes: tuple = kernel_passes.USUAL, clusters: bool = True, **columns) -> DataFrame:
+    """Kept components of each image: box, polygon, area, scores, ``reason``. Duplicates of better boxes are dropped.
+    ``passes``: what follows the base components; an empty tuple leaves those alone. ``clusters`` adds the regions in which
+    components crowd (D12), for which the components are written to the shared folder once."""
     c = candidates(images, params, passes, **columns)
     kept = c.withColumn("reject", reject_reason(params)).filter("reject is null").drop("reject")
     b = kept.withColumns({"x0": F.col("x"), "y0": F.col("y"), "x1": F.col("x") + F.col("w"), "y1": F.col("y") + F.col("h"), "ord": F.xxhash64("x", "y", "w", "h")})
     best = suppress_duplicates(b, ["image"], "score", "area_px", "ord", params.duplicate_share)
-    return best.select("image", F.array("x", "y", "w", "h").alias("bbox_px"), "polygon_px", "area_px", "score", "mean_score", F.col("seam_frac").alias("seam_overlap_frac"), "reason")
-
-
-def cluster_regions(defects: DataFrame, reach: float = 120.0, least: int = 7) -> DataFrame:
+    found = best.select("image", F.array("x", "y", "w", "h").alias("bbox_px"), "polygon_px", "area_px", "score", "mean_score", F.col("seam_frac").alias("seam_overlap_frac"), "reason")
+    if not clusters:
+        return found
+    found = materialise(found, "components")
+    c = lambda i: F.get("corners", F.lit(i))
+    outline = F.array(F.array(c(0), c(1)), F.array(c(2), c(1)), F.array(c(2), c(3)), F.array(c(0), c(3)))
+    w, h = c(2) - c(0), c(3) - c(1)
+    regions = cluster_regions(found).select("image", F.array(c(0), c(1), w, h).alias("bbox_px"), outline.alias("polygon_px"), (w * h).alias("area_px"), "score", F.col("score").alias("mean_score"), F.lit(0.0).alias("seam_overlap_frac"), F.lit("cluster_region").alias("reason"))
+    return found.unionByName(regions)
+
+
+def cluster_regions(defects: DataFrame, reach: float = 120.0, least: int = 7, others: int = 5, core: int = 2) -> DataFrame:
     """Regions of at least ``least`` components whose boxes lie within ``reach`` of each other: box and score
-    min(65, 22 + 2 n). D12. Components of boxes grown by half the reach, through the graph operator."""
+    min(65, 22 + 2 n). D12. Components of boxes grown by half the reach, through the graph operator.
+
+    Where the components bring a ``reason``, at least ``others`` of them must come from other passes than that of sparse
+    particles, and at least ``core`` from the base, the material or the salient passes: a field of dust is no region."""
     from litholake.operators.graph import connected_components, touching_boxes
 
+    if "reason" not in defects.columns:
+        defects, others, core = defects.withColumn("reason", F.lit("kept")), 0, 0
     b = lambda i: F.get("bbox_px", F.lit(i))
     d = defects.withColumn("id", F.pmod(F.xxhash64("image", "bbox_px"), F.lit(1 << 62)))
-    g = d.select("image", "id", (b(0) - reach / 2).alias("x0"), (b(1) - reach / 2).alias("y0"), (b(0) + b(2) + reach / 2).alias("x1"), (b(1) + b(3) + reach / 2).alias("y1"))
+    parts = F.split(F.coalesce("reason", F.lit("")), r"\+")
+    d = d.withColumns({"sparse": F.array_contains(parts, "kept_sparse_particle"), "solid": F.exists(parts, lambda r: (r == "kept") | r.rlike("material|salient"))})
+    g = d.select("image", "id", "sparse", "solid", (b(0) - reach / 2).alias("x0"), (b(1) - reach / 2).alias("y0"), (b(0) + b(2) + reach / 2).alias("x1"), (b(1) + b(3) + reach / 2).alias("y1"))
     comp = connected_components(g, touching_boxes(g, "id", 4 * reach, ["image"]), "id", "a", "b")
-    m = g.join(comp, "id").groupBy("image", "component").agg(F.count("*").alias("n"), *[f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
-    return m.filter(F.col("n") >= least).select("image", "n", F.array(*[F.round(F.col(c) + s * reach / 2).cast("int") for c, s in (("x0", 1), ("y0", 1), ("x1", -1), ("y1", -1))]).alias("corners"), F.least(F.lit(65.0), 22 + 2.0 * F.col("n")).alias("score"))
+    m = g.join(comp, "id").groupBy("image", "component").agg(F.count("*").alias("n"), F.count_if(~F.col("sparse")).alias("dense"), F.count_if("solid").alias("solid"), *[f(c).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+    return m.filter((F.col("n") >= least) & (F.col("dense") >= others) & (F.col("solid") >= core)).select("image", "n", F.array(*[F.round(F.col(c) + s * reach / 2).cast("int") for c, s in (("x0", 1), ("y0", 1), ("x1", -1), ("y1", -1))]).alias("corners"), F.least(F.lit(65.0), 22 + 2.0 * F.col("n")).alias("score"))
 
 
 def roi_to_full(defects: DataFrame, rois: DataFrame) -> DataFrame:

@@ -218,3 +218,24 @@ def test_template_promotes_and_outlines_weaken(spark):
     got = detect.template_of(frame)
     assert np.allclose(got[0], template[0]) and detect.template_of(frame.limit(0)) is None
     assert detect.detect(frame, detect.Params(border_px=10), template=got).count() == 0
+
+
+def test_a_field_of_dust_is_no_region(spark):
+    schema = "image string, bbox_px array<int>, reason string"
+    row = lambda image, k, reason: (image, [10 * k, 0, 5, 5], reason)
+    dust = [row("dust", k, "kept_sparse_particle") for k in range(9)]
+    smear = [row("smear", k, r) for k, r in enumerate(["kept", "kept_tiny_dark", "kept_tiny_dark", "kept_salient_spot+kept_tiny_dark", "kept_tiny_dark", "kept_sparse_particle", "kept_sparse_particle"])]
+    thin = [row("thin", k, "kept" if k == 0 else "kept_tiny_dark") for k in range(8)]
+    assert [(r.image, r.n) for r in detect.cluster_regions(spark.createDataFrame(dust + smear + thin, schema)).collect()] == [("smear", 7)]
+
+
+def test_crowded_spots_bring_their_region(spark):
+    img = stripes(340, 520)  # spots far enough apart not to be one component
+    y, x = np.ogrid[:340, :520]
+    for k in range(10):
+        img[(x - (80 + 90 * (k % 5))) ** 2 + (y - (110 + 110 * (k // 5))) ** 2 <= 64] = 25
+    df = spark.createDataFrame([("i", bytearray(r.encode_png(img)))], "image string, content binary")
+    got = detect.detect(df, detect.Params(border_px=10), passes=()).collect()
+    regions = [g for g in got if g.reason == "cluster_region"]
+    assert len(got) - len(regions) >= 7 and len(regions) == 1
+    assert regions[0].bbox_px[2] >= 180 and regions[0].score == min(65, 22 + 2.0 * (len(got) - 1))
