@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litholake.session import materialise
+from litholake.functions.robust import medians_by_bisection
+from litholake.session import discard, materialise
 
 
 def _det3(a: Sequence[Column], b: Sequence[Column], c: Sequence[Column]) -> Column:
@@ -24,35 +25,70 @@ def _solve3(m: Sequence[Sequence[Column]], r: Sequence[Column]) -> list[Column]:
     return out
 
 
+def _line_of(d: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Line of rows ``x, y, w`` per group: ``n, slope, intercept`` and the aggregates in ``more``, in one pass."""
+    s = d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("w").alias("sw"), F.sum(F.expr("w*x")).alias("sx"), F.sum(F.expr("w*y")).alias("sy"), F.sum(F.expr("w*x*x")).alias("sxx"), F.sum(F.expr("w*x*y")).alias("sxy"), *more)
+    det = F.expr("sw*sxx - sx*sx")
+    slope = F.when(F.abs(det) > 1e-12, F.expr("sw*sxy - sx*sy") / F.when(F.abs(det) > 1e-12, det))
+    s = s.withColumns({"slope": slope, "intercept": (F.col("sy") - slope * F.col("sx")) / F.col("sw")})
+    return s.drop("sw", "sx", "sy", "sxx", "sxy")
+
+
 def line_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, weight: str | None = None) -> DataFrame:
     """Least-squares line per group: ``n, slope, intercept``; with ``weight`` each row counts accordingly. A11.
 
     Rows with a null are left out; fewer than two distinct x give a null line."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     d = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), w.alias("w")).dropna(subset=["x", "y", "w"])
-    s = d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("w").alias("sw"), F.sum(F.expr("w*x")).alias("sx"), F.sum(F.expr("w*y")).alias("sy"), F.sum(F.expr("w*x*x")).alias("sxx"), F.sum(F.expr("w*x*y")).alias("sxy"))
-    det = F.expr("sw*sxx - sx*sx")
-    slope = F.when(F.abs(det) > 1e-12, F.expr("sw*sxy - sx*sy") / F.when(F.abs(det) > 1e-12, det))
-    return s.select(*keys, "n", slope.alias("slope"), ((F.col("sy") - slope * F.col("sx")) / F.col("sw")).alias("intercept"))
+    return _line_of(d, keys).select(*keys, "n", "slope", "intercept")
 
 
 def trimmed_line_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, rounds: int = 5, least_rows: int = 8, floor: float = 1.5, factor: float = 2.8 * 1.4826) -> DataFrame:
     """Line fit with residuals beyond ``max(floor, factor * MAD)`` trimmed in each of a fixed number of rounds; a group
     stops losing rows when fewer than ``least_rows`` would stay. A11, I5.
 
-    Each round is written to the shared folder, so the plan doesn't grow with the rounds."""
-    d = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
-    on = list(keys)
-    for _ in range(rounds):
-        fit = line_fit(d, on, "x", "y").select(*on, "slope", "intercept")
-        r = materialise(d.join(fit, on).select(*on, "x", "y", (F.col("y") - F.col("slope") * F.col("x") - F.col("intercept")).alias("r")), "residuals")
-        mid = r.groupBy(*on).agg(F.median("r").alias("m"))
-        r = materialise(r.join(mid, on).select(*on, "x", "y", F.abs(F.col("r") - F.col("m")).alias("a")), "deviations")
-        limit = r.groupBy(*on).agg(F.greatest(F.median("a") * factor, F.lit(floor)).alias("lim"))
-        tested = r.join(limit, on).withColumn("ok", (F.col("a") <= F.col("lim")).cast("int"))
-        enough = tested.groupBy(*on).agg((F.sum("ok") >= least_rows).alias("enough"))
-        d = materialise(tested.join(enough, on).filter((F.col("ok") == 1) | ~F.col("enough")).select(*on, "x", "y"), "kept")
-    return line_fit(d, on, "x", "y")
+    The rows are written once to the shared folder, with a number for their group; of each round only its line, middle and
+    limit per group are kept, from which every pass tells the rows that are left. So nothing of a group's size meets in one
+    task, and groups may have any size. A round in which no group loses a row would repeat itself, so the rounds end there.
+    Null keys are left out."""
+    on, g, nan = list(keys), ["group_no"], F.lit(float("nan"))
+    groups = materialise(df.select(*on).distinct().withColumn("group_no", F.monotonically_increasing_id()), "groups")
+    d = df.select(*on, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
+    d = materialise(d.join(groups, on).select("group_no", "x", "y"), "points")
+    extremes = [f(c).alias(c + e) for c in "xy" for e, f in (("lo", F.min), ("hi", F.max))]
+    line = ["n", "slope", "intercept", "xlo", "xhi", "ylo", "yhi"]
+    s = materialise(_line_of(d.withColumn("w", F.lit(1.0)), g, *extremes), "lines")
+    past: list[str] = []
+
+    def off(k: int | str) -> Column:
+        return F.abs(F.col("y") - F.col(f"slope{k}") * F.col("x") - F.col(f"intercept{k}") - F.col(f"middle{k}"))
+
+    def left(s: DataFrame, rounds: int) -> DataFrame:
+        rows = d.withColumn("w", F.lit(1.0)).join(s, g)
+        for k in range(rounds):  # a limit of NaN keeps all
+            rows = rows.filter(F.coalesce(off(k) <= F.col(f"limit{k}"), F.lit(True)))
+        return rows
+
+    for k in range(rounds):
+        tilt = [F.col("slope") * F.col(c) for c in ("xlo", "xhi")]
+        s = s.withColumns({"lo": F.col("ylo") - F.greatest(*tilt) - F.col("intercept"), "hi": F.col("yhi") - F.least(*tilt) - F.col("intercept")})
+        middle = medians_by_bisection(left(s, k).withColumn("v", F.expr("y - slope * x - intercept")), g, "v", s)
+        this = {f"slope{k}": F.col("slope"), f"intercept{k}": F.col("intercept"), f"middle{k}": F.col("median"), "top": F.greatest(F.abs(F.col("lo") - F.col("median")), F.abs(F.col("hi") - F.col("median")))}
+        s = materialise(s.join(middle, g, "left").withColumns(this).drop("median", "lo", "hi"), "middles")
+        ends = s.select(*g, "n", F.lit(0.0).alias("lo"), F.col("top").alias("hi"))
+        mad = medians_by_bisection(left(s, k).withColumn("v", off(k)), g, "v", ends).select(*g, F.greatest(F.col("median") * factor, F.lit(floor)).alias(f"limit{k}"))
+        s = materialise(s.join(mad, g, "left").drop("top"), "limits")
+        new = _line_of(left(s.filter(F.col(f"limit{k}").isNotNull()), k + 1), g, *extremes).withColumnsRenamed({c: f"new_{c}" for c in line})
+        loses = F.coalesce((F.col("new_n") >= least_rows) & (F.col("new_n") < F.col("n")), F.lit(False))
+        past += [f"{c}{k}" for c in ("slope", "intercept", "middle")]
+        after = [F.when(loses, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in line]
+        limits = [f"limit{j}" for j in range(k)]
+        s = materialise(s.join(new, g, "left").select(*g, *after, *past, *limits, F.when(loses, F.col(f"limit{k}")).otherwise(nan).alias(f"limit{k}"), loses.alias("lost")), "lines")
+        if s.filter("lost").isEmpty():
+            break
+        s = s.drop("lost")
+    discard(d)
+    return s.join(groups, g).select(*on, "n", "slope", "intercept")
 
 
 def circle_fit(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Robust statistics (A1-A6, A8): medians, MAD, robust z, trimmed medians, modes, gaps.
 
 ``exact=True`` uses Spark's exact interpolated percentile, which keeps one counter per distinct value of a group; it is
-the right choice while groups have at most some millions of distinct values. ``quantiles_by_bisection`` has no such limit:
-it narrows the value range of every group with histograms, whose size is fixed.
+the right choice while groups have at most some millions of distinct values. ``quantiles_by_bisection`` and
+``medians_by_bisection`` have no such limit: they narrow the value range of every group with histograms of fixed size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,3 +104,35 @@ def quantiles_by_bisection(df: DataFrame, key: str, value: str, q: float, bins:
     w = Window.partitionBy("k").orderBy("v")
     hit = few.withColumn("upto", F.sum("c").over(w)).filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
     return hit.select(F.col("k").alias(key), "n", F.col("v").alias("value"))
+
+
+def medians_by_bisection(df: DataFrame, keys: Sequence[str], value: str, ends: DataFrame, bins: int = 4096, small: int = 262144) -> DataFrame:
+    """The interpolated median of every group, as ``F.median`` has it, for groups of any size: ``keys, median``.
+
+    ``ends`` has a row for each group: the keys, the number ``n`` of its values, and ``lo`` and ``hi``, between which about
+    all of them lie (they only place the first bins). Each round counts the values of a group's remaining range in ``bins``
+    bins, or one by one when at most ``small`` are left, pre-aggregated before the shuffle, and keeps the bin that holds the
+    lower middle rank. Nothing of a group's size ever meets in one task. Every round narrows the range to values that occur,
+    so it ends. NaN counts as the largest value. Null keys and values are left out; ``n`` must not count them."""
+    on = list(keys)
+    v = df.select(*on, F.col(value).cast("double").alias("v")).filter("v is not null")
+    inf, n = float("inf"), F.col("n").cast("long")
+    left = ends.select(*on, F.lit(-inf).alias("lo"), F.lit(float("nan")).alias("hi"), F.col("lo").cast("double").alias("from"), F.col("hi").cast("double").alias("to"), F.floor((n + 1) / 2).alias("rank"), (n % 2 == 0).alias("even"), n.alias("left"))
+    found = []
+    while True:
+        wide = F.col("to") - F.col("from")
+        singly = (F.col("left") <= small) | ~F.coalesce(wide < inf, F.lit(False))
+        place = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("from"), wide) * bins), F.lit(0)).cast("double")
+        at = F.when(singly, F.col("v")).when(F.col("v") > F.col("to"), float(bins)).when(F.col("v") < F.col("from"), -1.0).otherwise(place)
+        inside = v.join(left, on).filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        hist = inside.groupBy(*on, at.alias("bin")).agg(F.count("*").alias("c"), F.min("v").alias("blo"), F.max("v").alias("bhi"))
+        w = Window.partitionBy(*on).orderBy("bin")
+        placed = hist.withColumn("upto", F.sum("c").over(w)).withColumn("next", F.lead("blo").over(w)).join(left.select(*on, "rank", "even"), on)
+        placed = placed.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
+        middle = F.when(F.col("even") & (F.col("upto") == F.col("rank")), F.col("bhi") * 0.5 + F.col("next") * 0.5).when(F.col("blo") == F.col("bhi"), F.col("blo"))
+        step = placed.select(*on, middle.alias("median"), F.col("blo").alias("lo"), F.col("bhi").alias("hi"), (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"), "even", F.col("c").alias("left"))
+        step = materialise(step, "bisect-state")  # a row for each group
+        found.append(step.filter("median is not null").select(*on, "median"))
+        left = step.filter("median is null").select(*on, "lo", "hi", F.col("lo").alias("from"), F.col("hi").alias("to"), "rank", "even", "left")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, found)

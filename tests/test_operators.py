@@ -151,3 +151,50 @@ def test_medians_agree_with_python(spark):
     df = spark.createDataFrame([("k", x) for x in v], "k string, v double")
     assert robust.center_spread(df, ["k"], "v").first().center == median(v)
     assert robust.mode_first(spark.createDataFrame([("k", x, i) for i, x in enumerate([5, 3, 3, 5])], "k string, v int, i int"), ["k"], "v", "i").first()["mode"] == 5
+
+
+def test_medians_by_bisection(spark):
+    r = random.Random(3)
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", r.gauss(0, 1) * 10 ** r.uniform(-3, 3)) for _ in range(2000)] + [("b", 7.0)] * 901 + [("c", float(i % 2)) for i in range(100)] + [("d", 5.0)] + [("e", v) for v in (-inf, -1.0, 2.0, inf, nan, nan)]
+    df = spark.createDataFrame(rows + [(None, 1.0), ("a", None), ("z", None)], "k string, v double")
+    want = {x.k: x.m for x in df.filter("k is not null and v is not null").groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert want["a"] == median(v for k, v in rows if k == "a") and want["c"] == 0.5
+    ends = df.groupBy("k").agg(F.count("v").alias("n"), F.min(robust.finite(F.col("v"))).alias("lo"), F.max(robust.finite(F.col("v"))).alias("hi"))
+    wrong = ends.withColumns({"lo": F.lit(-1.0), "hi": F.lit(1.0)})  # the ends need not be right
+    for bins, small, e in ((64, 1, ends), (8, 20, wrong), (4096, 262144, wrong)):
+        assert {x.k: x.median for x in robust.medians_by_bisection(df, ["k"], "v", e, bins, small).collect()} == want
+
+
+def trimmed(pts, rounds, least=8):
+    """Trimmed line of one group in plain Python: (n, slope)."""
+
+    def line():
+        n, sx, sy = len(pts), sum(x for x, _ in pts), sum(y for _, y in pts)
+        s = (n * sum(x * y for x, y in pts) - sx * sy) / (n * sum(x * x for x, _ in pts) - sx * sx)
+        return s, (sy - s * sx) / n
+
+    for _ in range(rounds):
+        s, i = line()
+        m = median(y - s * x - i for x, y in pts)
+        off = [abs(y - s * x - i - m) for x, y in pts]
+        ok = [p for p, a in zip(pts, off, strict=True) if a <= max(1.5, 2.8 * 1.4826 * median(off))]
+        pts = ok if len(ok) >= least else pts
+    return len(pts), line()[0]
+
+
+def test_trimmed_line_without_a_group_in_one_task(spark, monkeypatch):
+    r = random.Random(11)
+    groups = {g: [(x := r.uniform(0, 50), 3 * x + r.gauss(0, 4) + (r.random() < share) * r.uniform(0, 10 ** r.uniform(1, 4))) for _ in range(n)] for g, n, share in (("a", 700, 0.2), ("b", 41, 0.1), ("few", 9, 0.5), ("clean", 200, 0.0))}
+    rows = [(g, 1, x, y) for g, pts in groups.items() for x, y in pts] + [("flat", 1, 2.0, float(i)) for i in range(20)] + [(None, 1, 1.0, 1.0), ("a", 1, None, 1.0), ("a", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, j int, u double, v double")
+    plans, write = [], fits.materialise
+    for module in (fits, robust):
+        monkeypatch.setattr(module, "materialise", lambda d, label: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or write(d, label))
+    for rounds in (0, 1, 3):
+        got = {x.k: x for x in fits.trimmed_line_fit(df, ["k", "j"], "u", "v", rounds=rounds).collect()}
+        assert got.keys() == {*groups, "flat"} and (got["flat"].n, got["flat"].slope) == (20, None)
+        for g, pts in groups.items():
+            n, slope = trimmed(pts, rounds)
+            assert got[g].n == n and abs(got[g].slope - slope) < 1e-9
+    assert plans and not [p for p in plans if "median(" in p or "percentile(" in p]  # these hold all values of a group in one task
